@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The unit of work is one day of finished call records. Late records are handled
+by running the day again over its own partition (``callweave.sources.write_days``),
+so there is no stream, watermark or state to build.
+"""
