@@ -62,9 +62,11 @@ def day_facts(
     zone: str = "UTC",
     rules: str = "v2",
 ) -> DataFrame:
-    """Facts of the given tickets. Three stages are stored because later ones read them
-    more than once: the matched tickets, the legs and the rules."""
-    matched = match_calls(ticket_prep(tickets, rules), ivr_prep(ivr_blocks, ivr_calls), zone)
+    """Facts of the given tickets. A stage is stored where later ones read it more than
+    once: the prepared tickets (CSV would be parsed again), the matched tickets, the legs,
+    the rules and the organisation."""
+    prepared = stages.keep(ticket_prep(tickets, rules), "tickets")
+    matched = match_calls(prepared, ivr_prep(ivr_blocks, ivr_calls), zone)
     facts = call_rules(stages.keep(matched, "matched"), rules, stages.keep)
     tariffs = tariff_classify(
         stages.keep(facts, "rules"), reference.numbering_plan, reference.dial_codes, rules

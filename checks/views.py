@@ -42,6 +42,13 @@ def pad(value, size: int):
     return F.lpad(value.cast("string"), size, "0")
 
 
+def choose(index, values):
+    chosen = F.when(index == 0, values[0])
+    for i, value in enumerate(values[1:], 1):
+        chosen = chosen.when(index == i, value)
+    return chosen
+
+
 def calls_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, u = F.col("n"), F.col("u")
     base = table(spark, sf_dir, "events").select(
@@ -51,7 +58,7 @@ def calls_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     base = base.withColumn("d8", pad(u * 79190131 % 100_000_000, 8))
     d8, d7 = F.col("d8"), F.substring("d8", 2, 7)
-    numbers = [
+    numbers = [  # chosen by CASE, so that only one of them is computed per row
         F.concat(F.lit("06"), d8), F.concat(F.lit("07"), d8), F.concat(F.lit("08"), d8),
         F.concat(F.lit("3"), pad(u * 7 % 1000, 3)), F.concat(F.lit("5"), d7),
         F.lit("15"), F.lit("18"), F.lit("112"),
@@ -60,7 +67,7 @@ def calls_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     return base.withColumns(
         {
-            "called": F.get(F.array(*numbers), F.floor(n / 8).cast("int") % 13),
+            "called": choose(F.floor(n / 8) % 13, numbers),
             "charged": F.concat(F.lit("3"), d7),
             "calling": F.concat(F.when(n % 11 == 0, "1").otherwise("4"), d7),
         }
@@ -76,7 +83,7 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         n.cast("string").alias("TicketId"),
         F.col("called").alias("CalledNumber"),
         F.col("calling").alias("CallingNumber"),
-        F.get(F.array(*[F.lit(str(c)) for c in CALL_TYPES]), (n % 8).cast("int")).alias("CallType"),
+        choose(n % 8, [str(c) for c in CALL_TYPES]).alias("CallType"),
         (n % 4 * 15).cast("string").alias("EffectiveCallDuration"),
         F.col("called").alias("InitialDialledNumber"),
         later.alias("StartDateTime"),
@@ -101,9 +108,7 @@ def ivr_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             {
                 "id": (n * 10 + F.col("k")).cast("string"),
                 "start": second + (n * 5 % 9) + F.lit(0.25) + F.col("k"),
-                "cause": F.get(
-                    F.array(*[F.lit(c) for c in CAUSES]), F.floor(n / 96).cast("int") % 4
-                ),
+                "cause": choose(F.floor(n / 96) % 4, CAUSES),
             }
         )
     )
