@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -88,15 +88,17 @@ def attach_by_key(
     shuffled join spread by a hash of ``spread`` instead of by key. A key outside the list
     has less than ``1/heavy_keys`` of all rows.
     """
-    heavy = lookup.orderBy(F.desc(weight), *keys).limit(heavy_keys)
+    # Both uses of the lookup start from the same filtered rows and keep the same columns, so
+    # that its aggregation is computed once and its shuffle reused.
+    has_key = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    known = lookup.where(has_key & (F.col(weight) > 0))
+    heavy = known.orderBy(F.desc(weight), *keys).limit(heavy_keys)
     heavy = F.broadcast(
         heavy.select(
             F.struct(*values).alias("_heavy"), *[F.col(k).alias(f"_heavy_{k}") for k in keys]
         )
     )
-    # The weight filter always holds; it keeps both uses of the lookup the same, so that
-    # its aggregation is computed once.
-    rest = lookup.where(F.col(weight) > 0).select(
+    rest = known.select(
         F.struct(*values).alias("_rest"),
         F.xxhash64(*keys).alias("_rest_hash"),
         *[F.col(k).alias(f"_rest_{k}") for k in keys],
@@ -105,9 +107,8 @@ def attach_by_key(
     def same_key(prefix: str) -> Column:
         return reduce(and_, [F.col(k) == F.col(f"{prefix}{k}") for k in keys])
 
-    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    by_hash = F.when(F.col("_heavy").isNotNull() | no_key, F.xxhash64(*spread)).otherwise(
-        F.xxhash64(*keys)
+    by_hash = F.when(F.col("_heavy").isNull() & has_key, F.xxhash64(*keys)).otherwise(
+        F.xxhash64(*spread)
     )
     attached = (
         rows.join(heavy, same_key("_heavy_"), "left")

@@ -61,12 +61,14 @@ def day_facts(
     stages: Stages,
     zone: str = "UTC",
     rules: str = "v2",
+    details: str = "exact",
 ) -> DataFrame:
     """Facts of the given tickets. A stage is stored where later ones read it more than
-    once: the prepared tickets (CSV would be parsed again), the matched tickets, the legs,
-    the rules and the organisation."""
+    once: the prepared tickets (CSV would be parsed again), the prepared calls, the matched
+    tickets, the legs, the rules and the organisation."""
     prepared = stages.keep(ticket_prep(tickets, rules), "tickets")
-    matched = match_calls(prepared, ivr_prep(ivr_blocks, ivr_calls), zone)
+    ivr = stages.keep(ivr_prep(ivr_blocks, ivr_calls), "ivr")
+    matched = match_calls(prepared, ivr, zone, details=details)
     facts = call_rules(stages.keep(matched, "matched"), rules, stages.keep)
     tariffs = tariff_classify(
         stages.keep(facts, "rules"), reference.numbering_plan, reference.dial_codes, rules

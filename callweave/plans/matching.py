@@ -13,61 +13,85 @@ TICKET_COLUMNS = [
     "CallType", "ChargedNumber", "EffectiveCallDuration", "CostCenter", "CallingNumber",
     "WaitingDuration",
 ]
+MATCH_COLUMNS = ["started_datetime", "temp_caller", "endcause", "date_diff"]
 DETAIL_COLUMNS = [
     "id", "bloc duration", "bloc name", "Motif appel", "bloc id", "caller", "called",
     "tenantname", "treename", "start", "duration", "transferredto", "SAGES (bloc)",
 ]
 
 
+def _same(left: str, right: str):
+    return F.col(left).eqNullSafe(F.col(right))
+
+
 def match_calls(
     tickets: DataFrame,
     ivr: DataFrame,
     zone: str = "UTC",
     tolerance: int = TOLERANCE_SECONDS,
-    details: str = "carried",
+    details: str = "exact",
 ) -> DataFrame:
     """All tickets, each with every voice-response call of its number that started within
     the tolerance. ``zone`` is the time zone of the tickets' wall clock.
 
-    Pairs are found on narrow ticket rows (id, number, time); the full ticket rows are
-    shuffled once, by TicketId, so a busy number never moves them. Tickets that share a
-    TicketId share its matches; the details of the call (all but endcause, start and
-    caller) are then null where the ticket's own number is not the caller.
+    The rules in full: a ticket gets the matches of all tickets that share its TicketId;
+    endcause, start and caller come from the match; the other columns of the call are
+    those of every call with the ticket's own number and the exact start of the match, so
+    they are null where that number is not the caller, and calls that share number and
+    start give one row for each pair of them.
 
-    ``details="rejoined"`` looks the details up again by caller and exact start. It differs
-    only when several calls share both: each match then comes once per such call.
+    All of this is worked out on narrow rows (ticket id, number, time). The full ticket
+    rows are shuffled once, by ticket, so a busy number never moves them.
+
+    ``details="carried"`` takes the details straight from the matched call: one row per
+    ticket and call. It gives the same rows, with fewer joins, where no two calls share
+    number and start.
     """
-    narrow = tickets.where(F.col("CalledNumber").isNotNull()).select(
+    narrow = tickets.select(
         "TicketId",
-        F.col("CalledNumber").alias("_called"),
+        F.col("CalledNumber").alias("_number"),
         wall_seconds(F.col("InitialStartDateTime"), zone).alias("_ticket_second"),
     )
-    carried = DETAIL_COLUMNS if details == "carried" else []
+    carried = [F.struct(*[F.col(f"`{c}`") for c in DETAIL_COLUMNS]).alias("_details")]
     calls = ivr.select(
-        "temp_caller", "started_datetime", "endcause",
+        *MATCH_COLUMNS[:3],
         F.floor("start").alias("_call_second"),
-        F.struct(*[F.col(f"`{c}`") for c in carried or ["id"]]).alias("_details"),
+        *(carried if details == "carried" else []),
     )
     matches = tolerance_join(
-        narrow, calls, "_called", "temp_caller", "_ticket_second", "_call_second", tolerance
-    ).select("TicketId", "temp_caller", "started_datetime", "endcause", "date_diff", "_details")
-    matched = tickets.select(*TICKET_COLUMNS).join(matches, "TicketId", "left")
-    kept = TICKET_COLUMNS + ["started_datetime", "temp_caller", "endcause", "date_diff"]
-    own = F.col("CalledNumber") == F.col("temp_caller")
+        narrow.where(F.col("_number").isNotNull()), calls,
+        "_number", "temp_caller", "_ticket_second", "_call_second", tolerance,
+    ).drop("_number", "_ticket_second", "_call_second")
+    wide = tickets.select(*TICKET_COLUMNS)
+
     if details == "carried":
-        return matched.select(
-            *kept, *[F.when(own, F.col("_details")[c]).alias(c) for c in DETAIL_COLUMNS]
+        own = F.col("CalledNumber") == F.col("temp_caller")
+        return wide.join(matches, "TicketId", "left").select(
+            *TICKET_COLUMNS,
+            *MATCH_COLUMNS,
+            *[F.when(own, F.col("_details")[c]).alias(c) for c in DETAIL_COLUMNS],
         )
-    again = ivr.select(
-        F.col("temp_caller").alias("_again_caller"),
-        F.col("started_datetime").alias("_again_start"),
+
+    numbers = (
+        narrow.join(matches.select("TicketId"), "TicketId", "left_semi")
+        .select("TicketId", "_number")
+        .distinct()
+    )
+    same_start = ivr.select(
+        F.col("temp_caller").alias("_detail_caller"),
+        F.col("started_datetime").alias("_detail_start"),
         *[f"`{c}`" for c in DETAIL_COLUMNS],
     )
-    same_call = (F.col("CalledNumber") == F.col("_again_caller")) & (
-        F.col("started_datetime") == F.col("_again_start")
+    same_call = (F.col("_number") == F.col("_detail_caller")) & (
+        F.col("started_datetime") == F.col("_detail_start")
+    )
+    found = (
+        numbers.join(matches, "TicketId")
+        .join(same_start, same_call, "left")
+        .withColumnRenamed("TicketId", "_ticket")
     )
-    return (
-        matched.drop("_details")
-        .join(again, same_call, "left")
-        .select(*kept, *[f"`{c}`" for c in DETAIL_COLUMNS])
+    # A null TicketId matches nothing; a null number is a number like any other here.
+    same_ticket = (F.col("TicketId") == F.col("_ticket")) & _same("CalledNumber", "_number")
+    return wide.join(found, same_ticket, "left").select(
+        *TICKET_COLUMNS, *MATCH_COLUMNS, *[f"`{c}`" for c in DETAIL_COLUMNS]
     )

@@ -529,22 +529,24 @@ def half_even(spark, sf):
 
 
 def _two_versions(spark, sf):
-    left = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    key = F.col("o_orderkey")
-    right = left.where(key % 97 != 0).withColumns(
+    names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    price = F.col("o_totalprice")
+    orders = table(spark, sf, "orders").select(*names, "o_totalprice")
+    left = orders.select(*names)
+    right = orders.where(price >= 9000).withColumns(
         {
-            "o_orderstatus": F.when(key % 31 == 0, "X").otherwise(F.col("o_orderstatus")),
-            "o_orderpriority": F.when(key % 41 != 0, F.col("o_orderpriority")),
+            "o_orderstatus": F.when(price > 480_000, "X").otherwise(F.col("o_orderstatus")),
+            "o_orderpriority": F.when(price < 490_000, F.col("o_orderpriority")),
         }
     )
-    return left, repeat_rows(right, 2).select(*reversed(left.columns))
+    return left, repeat_rows(right.select(*reversed(names)), 2)
 
 
 VERSIONS_SQL = """
 l AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders),
-r AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 31 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
-        CASE WHEN o_orderkey % 41 <> 0 THEN o_orderpriority END AS o_orderpriority
-      FROM orders, (VALUES (1), (2)) AS c(i) WHERE o_orderkey % 97 <> 0)"""
+r AS (SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice > 480000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+        CASE WHEN o_totalprice < 490000 THEN o_orderpriority END AS o_orderpriority
+      FROM orders, (VALUES (1), (2)) AS c(i) WHERE o_totalprice >= 9000)"""
 
 
 @query(with_views(VERSIONS_SQL, select="""

@@ -40,9 +40,10 @@ def _named(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(_plain(c)) for c in columns])
 
 
-def _matched(spark: SparkSession, sf: str, rules: str = "v2", details: str = "carried") -> DataFrame:
-    prepared = ticket_prep(views.tickets(spark, sf), rules)
-    return match_calls(prepared, _ivr(spark, sf), details=details)
+def _matched(spark: SparkSession, sf: str, rules: str = "v2", details: str = "exact") -> DataFrame:
+    stages = Stages(spark)
+    prepared = stages.keep(ticket_prep(views.tickets(spark, sf), rules), "tickets")
+    return match_calls(prepared, stages.keep(_ivr(spark, sf), "ivr"), details=details)
 
 
 def _ivr(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,8 +79,8 @@ def q_tolerance_left(spark, sf):
     return _named(_matched(spark, sf), MATCH_OUTPUT)
 
 
-def q_tolerance_left_rejoined(spark, sf):
-    return _named(_matched(spark, sf, details="rejoined"), MATCH_OUTPUT)
+def q_tolerance_left_carried(spark, sf):
+    return _named(_matched(spark, sf, details="carried"), MATCH_OUTPUT)
 
 
 def q_call_rules_v2(spark, sf):
@@ -214,12 +215,23 @@ c2 AS (
 
 DETAILS = [_plain(c) for c in DETAIL_COLUMNS]
 
-MATCH = f"""
+NEAR = """
 m AS (
   SELECT c1."TicketId", c2.*,
     CAST(abs(floor(start) - epoch(CAST("InitialStartDateTime" AS TIMESTAMP))) AS BIGINT) AS date_diff
   FROM c1 JOIN c2 ON "CalledNumber" = temp_caller
-  WHERE abs(floor(start) - epoch(CAST("InitialStartDateTime" AS TIMESTAMP))) <= 4),
+  WHERE abs(floor(start) - epoch(CAST("InitialStartDateTime" AS TIMESTAMP))) <= 4)"""
+
+MATCH = f"""
+{NEAR.strip()},
+c3 AS (
+  SELECT c1.*, m.temp_caller, m.endcause, m.date_diff,
+    {", ".join(f'd."{c}"' for c in DETAILS)}
+  FROM c1 LEFT JOIN m ON c1."TicketId" = m."TicketId"
+  LEFT JOIN c2 d ON c1."CalledNumber" = d.temp_caller AND m.start = d.start)"""
+
+MATCH_CARRIED = f"""
+{NEAR.strip()},
 c3 AS (
   SELECT c1.*, m.temp_caller, m.endcause, m.date_diff,
     {", ".join(f'CASE WHEN c1."CalledNumber" = m.temp_caller THEN m."{c}" END AS "{c}"' for c in DETAILS)}
@@ -492,7 +504,7 @@ QUERIES = {
     "ticket_prep_v1": q_ticket_prep_v1,
     "ivr_prep": q_ivr_prep,
     "tolerance_left": q_tolerance_left,
-    "tolerance_left_rejoined": q_tolerance_left_rejoined,
+    "tolerance_left_carried": q_tolerance_left_carried,
     "call_rules_v2": q_call_rules_v2,
     "call_rules_v1": q_call_rules_v1,
     "tariff_classify": q_tariff_classify,
@@ -515,7 +527,7 @@ SQL = {
     "ticket_prep_v1": with_views(BASE_SQL, TICKETS_SQL, PREP_V1, select="SELECT * FROM c1"),
     "ivr_prep": with_views(BASE_SQL, IVR_SQL, IVR_PREP, select="SELECT * FROM c2"),
     "tolerance_left": with_views(*_to_match, select=_match_select),
-    "tolerance_left_rejoined": with_views(*_to_match, select=_match_select),
+    "tolerance_left_carried": with_views(*_to_match[:-1], MATCH_CARRIED, select=_match_select),
     "call_rules_v2": with_views(*_to_rules, select="SELECT * FROM c4"),
     "call_rules_v1": with_views(*_to_match_v1, _rules_sql("v1"), select="SELECT * FROM c4"),
     "tariff_classify": with_views(*_to_tariff, select="SELECT * FROM c5"),

@@ -1,7 +1,8 @@
 """Call data derived from the given tables, once as DataFrames and once as SQL.
 
-``events`` gives tickets, voice-response calls, their blocks and the users; ``region``,
-``nation`` and ``customer`` give the organisation. The SQL texts are ``WITH`` parts that
+``events`` gives tickets, voice-response calls (clicks and errors; an error calls twice),
+their blocks and the users; ``region``, ``nation``, ``supplier`` and ``customer`` give the
+organisation (a nation without a rich supplier has no centre). The SQL texts are ``WITH`` parts that
 a query puts in front of its own.
 """
 
@@ -54,6 +55,7 @@ def calls_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("n"),
         F.col("user_id").alias("u"),
+        "event_type",
         F.substring(F.col("ts").cast("timestamp_ntz").cast("string"), 1, 19).alias("s"),
     )
     base = base.withColumn("d8", pad(u * 79190131 % 100_000_000, 8))
@@ -98,11 +100,12 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ivr_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n")
-    copies = F.when(n % 30 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    is_error = F.col("event_type") == "error"
+    copies = F.when(is_error, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     second = F.unix_timestamp(F.col("s").cast("timestamp_ntz"))
     return (
         calls_base(spark, sf_dir)
-        .where((n % 3 == 0) & F.col("called").isNotNull())
+        .where(F.col("event_type").isin("click", "error") & F.col("called").isNotNull())
         .select("*", F.explode(copies).alias("k"))
         .withColumns(
             {
@@ -178,7 +181,9 @@ def organisation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nation = table(spark, sf_dir, "nation")
     nation_code = F.concat(pad(F.col("n_regionkey"), 3), pad(F.col("n_nationkey"), 2))
-    centre = nation.where("n_nationkey % 8 != 7").select(
+    rich = table(spark, sf_dir, "supplier").where("s_acctbal > 5000")
+    with_supplier = nation.join(rich, F.col("n_nationkey") == F.col("s_nationkey"), "left_semi")
+    centre = with_supplier.select(
         F.col("n_nationkey").cast("bigint").alias("k"),
         nation_code.alias("code"),
         pad(F.col("n_regionkey"), 3).alias("dir"), F.lit("").alias("ci"), F.lit("").alias("cb"),
@@ -262,10 +267,10 @@ def _values(rows) -> str:
 
 BASE_SQL = """
 base0 AS (
-  SELECT event_id AS n, user_id AS u, date_trunc('second', ts) AS s,
+  SELECT event_id AS n, user_id AS u, event_type, date_trunc('second', ts) AS s,
          lpad(CAST(user_id * 79190131 % 100000000 AS VARCHAR), 8, '0') AS d8 FROM events),
 base AS (
-  SELECT n, u, s, d8, substr(d8, 2) AS d7,
+  SELECT n, u, event_type, s, d8, substr(d8, 2) AS d7,
     CASE (n // 8) % 13
       WHEN 0 THEN '06' || d8 WHEN 1 THEN '07' || d8 WHEN 2 THEN '08' || d8
       WHEN 3 THEN '3' || lpad(CAST(u * 7 % 1000 AS VARCHAR), 3, '0')
@@ -297,7 +302,7 @@ ib AS (
     CASE (n // 96) % 4 WHEN 0 THEN 'TRANSFERRED' WHEN 1 THEN 'RELEASED By Caller'
       WHEN 2 THEN 'RELEASED By VAA' ELSE 'NOT ENOUGH LICENSE' END AS cause
   FROM base, (VALUES (0), (1)) AS c(k)
-  WHERE n % 3 = 0 AND called IS NOT NULL AND (k = 0 OR n % 30 = 0)),
+  WHERE event_type IN ('click', 'error') AND called IS NOT NULL AND (k = 0 OR event_type = 'error')),
 ivr_calls AS (
   SELECT id, 'sip:' || called || '@node;user=phone' AS caller, charged AS called,
     'SITE-' || (u % 7) AS tenantname, 'TREE-' || (n % 3) AS treename, start,
@@ -330,7 +335,8 @@ units AS (
   SELECT r_regionkey AS k, lpad(CAST(r_regionkey AS VARCHAR), 3, '0') AS code, '' AS dir, '' AS ci,
     '' AS cb, r_name AS label FROM region
   UNION ALL
-  SELECT n_nationkey, c, d, '', '', n_name FROM nat WHERE n_nationkey % 8 <> 7
+  SELECT n_nationkey, c, d, '', '', n_name FROM nat
+  WHERE EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 5000)
   UNION ALL
   SELECT k, c || lpad(CAST(suffix AS VARCHAR), 2, '0'), d, c,
     CASE WHEN k % 17 = 3 THEN '0000001' ELSE '' END, 'OFFICE ' || k
