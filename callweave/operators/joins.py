@@ -171,12 +171,11 @@ def dial_code_lookup(
         .agg(F.count("*").cast("int").alias("_listed"))
     )
     labels = countries.select(F.col("Indicatif").alias("_code"), "Pays")
+    labelled = codes.join(labels, F.col("_covered") == F.col("_code"), "left")
     bare = F.regexp_replace(F.col(number), "^00", "")
     prefixes = F.explode(F.array(*[F.substring(bare, 1, n) for n in lengths]))
-    hits = (
-        df.select("*", prefixes.alias("Indicatif_numero"))
-        .join(checked_broadcast(codes), F.col("Indicatif_numero") == F.col("_covered"), "inner")
-        .join(checked_broadcast(labels), F.col("Indicatif_numero") == F.col("_code"), "left")
+    hits = df.select("*", prefixes.alias("Indicatif_numero")).join(
+        checked_broadcast(labelled), F.col("Indicatif_numero") == F.col("_covered"), "inner"
     )
     if duplicates:
         copies = F.explode(F.sequence(F.lit(1), F.col("_listed")))

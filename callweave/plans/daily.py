@@ -6,6 +6,7 @@ import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from callweave.plans.cross_reference import cross_reference, office_export, stats_export
 from callweave.plans.ivr import ivr_prep
@@ -23,7 +24,7 @@ from callweave.sources import (
     read_layout_file,
     read_lines,
     read_tickets,
-    write_days,
+    write_day,
 )
 
 
@@ -105,8 +106,9 @@ def run_day(
         reference, day, stages or Stages(spark), zone, rules,
     )
     label = day.isoformat()
-    write_days(facts.withColumn("jour", F.lit(label)), f"{result}/facts")
-    stored = spark.read.orc(f"{result}/facts").where(F.col("jour") == label)
+    write_day(facts, f"{result}/facts", label)
+    schema = StructType([*facts.schema.fields, StructField("jour", StringType())])
+    stored = spark.read.schema(schema).orc(f"{result}/facts").where(F.col("jour") == label)
     compact = label.replace("-", "")
     export_sorted_csv(stats_export(stored), f"{result}/stats/{compact}")
     export_sorted_csv(office_export(stored), f"{result}/offices/{compact}")

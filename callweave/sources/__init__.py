@@ -13,6 +13,7 @@ from callweave.sources.synthetic import synthetic_tickets
 from callweave.sources.writers import (
     export_sorted_csv,
     write_csv,
+    write_day,
     write_days,
     write_orc,
     write_orc_table,
@@ -21,6 +22,6 @@ from callweave.sources.writers import (
 __all__ = [
     "Stages", "export_sorted_csv", "read_csv", "read_csv_columns", "read_ivr_blocks",
     "read_ivr_calls", "read_layout_file", "read_lines", "read_table", "read_tickets",
-    "shared_folder", "synthetic_tickets", "write_csv", "write_days", "write_orc",
+    "shared_folder", "synthetic_tickets", "write_csv", "write_day", "write_days", "write_orc",
     "write_orc_table",
 ]

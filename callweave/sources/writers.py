@@ -29,6 +29,12 @@ def write_days(df: DataFrame, path: str, day: str = "jour", by: Sequence[str] =
     writer.partitionBy(day).orc(path)
 
 
+def write_day(df: DataFrame, path: str, label: str, day: str = "jour") -> None:
+    """One day of a folder partitioned by day. Its partition is replaced even if the new
+    result is empty; the other days are left alone."""
+    df.drop(day).write.mode("overwrite").orc(f"{path}/{day}={label}")
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").options(header=True, sep=sep).csv(path)
 
