@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from callweave.functions.predicates import is_true
 from callweave.operators.joins import attach_by_key
 
 
@@ -32,10 +33,18 @@ def latest_version(
 
 
 def mark_first(
-    df: DataFrame, keys: Sequence[str], time: str, among: Column, flag: str
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    among: Column,
+    flag: str,
+    only: Column | None = None,
 ) -> DataFrame:
     """Flag the rows whose keys and time equal those of the earliest row of their group,
-    where only rows that fulfil ``among`` take part in finding the earliest one."""
+    where only rows that fulfil ``among`` take part in finding the earliest one.
+
+    ``only`` says which rows need the flag; the others get false without being shuffled.
+    """
     first = (
         df.where(among)
         .groupBy(*[F.col(k).alias(f"_first_{k}") for k in keys])
@@ -44,8 +53,12 @@ def mark_first(
     same = F.col(time) == F.col("_first_time")
     for k in keys:
         same = same & (F.col(k) == F.col(f"_first_{k}"))
-    marked = df.join(first, same, "left").withColumn(flag, F.col("_first_time").isNotNull())
-    return marked.drop("_first_time", *[f"_first_{k}" for k in keys])
+    asked = df if only is None else df.where(is_true(only))
+    marked = asked.join(first, same, "left").withColumn(flag, F.col("_first_time").isNotNull())
+    marked = marked.drop("_first_time", *[f"_first_{k}" for k in keys])
+    if only is None:
+        return marked
+    return marked.unionByName(df.where(~is_true(only)).withColumn(flag, F.lit(False)))
 
 
 def group_total(

@@ -72,11 +72,7 @@ def match_calls(
             *[F.when(own, F.col("_details")[c]).alias(c) for c in DETAIL_COLUMNS],
         )
 
-    numbers = (
-        narrow.join(matches.select("TicketId"), "TicketId", "left_semi")
-        .select("TicketId", "_number")
-        .distinct()
-    )
+    numbers = narrow.select("TicketId", "_number").distinct()
     same_start = ivr.select(
         F.col("temp_caller").alias("_detail_caller"),
         F.col("started_datetime").alias("_detail_start"),

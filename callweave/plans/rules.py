@@ -59,8 +59,10 @@ def call_legs(matched: DataFrame) -> DataFrame:
     call_type, transfer = F.col("CallType"), F.col("Transfer")
     called, charged, calling = F.col("CalledNumber"), F.col("ChargedNumber"), F.col("CallingNumber")
     first_leg = F.col("endcause").isNotNull() & (call_type == fv.FIRST_LEG_CALL_TYPE)
+    # Only a transfer flag can be cleared, so no other ticket has to look for its first leg.
     flagged = mark_first(
-        _typed(matched), ["InitialStartDateTime", "CalledNumber"], "StartDateTime", first_leg, "_first"
+        _typed(matched), ["InitialStartDateTime", "CalledNumber"], "StartDateTime", first_leg,
+        "_first", only=transfer != 0,
     ).where(charged.isNotNull())
     calls = flagged.withColumn("Transfer", F.when(F.col("_first"), transfer * 0).otherwise(transfer))
 
@@ -230,10 +232,12 @@ def call_rules(
     counted = _with_counts(call_legs(matched))
     if keep is not None:
         counted = keep(counted, "legs")
-    totals = group_total(
-        counted, ["CalledNumber", "Date"], "Appels_recus", "_total", spread=["TicketId", "ChargedNumber"]
-    )
-    repeated = totals.withColumn(
-        "Appels", F.when(F.col("Type_appel") == fv.RECEIVED, F.col("_total"))
+    # Only received legs have a repeat count, and only they add to it.
+    is_received = F.col("Type_appel") == fv.RECEIVED
+    received = group_total(
+        counted.where(is_received), ["CalledNumber", "Date"], "Appels_recus", "Appels",
+        spread=["TicketId", "ChargedNumber"],
     )
+    others = counted.where(~is_received).withColumn("Appels", F.lit(None).cast("bigint"))
+    repeated = received.unionByName(others)
     return _with_indicators(repeated, rules).select(*fv.RULE_COLUMNS)

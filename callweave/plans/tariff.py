@@ -11,10 +11,13 @@ from callweave.operators import anti_join, dial_code_lookup, joined_labels, pref
 NOT_COMPARED = ["Aboutissement_SVI", "Motif_appel"]
 
 
-def _domestic(legs: DataFrame, plan: DataFrame, rules: str, duplicates: bool) -> DataFrame:
-    """Numbers of up to ten digits, in one pass: the class decides the length of the prefix
-    that is looked up, if any."""
+def _without_dial_code(
+    legs: DataFrame, plan: DataFrame, rules: str, duplicates: bool
+) -> DataFrame:
+    """Numbers of up to ten digits and received international legs, in one pass: the class
+    decides the length of the prefix that is looked up, if any."""
     number, size = F.col("CalledNumber"), F.length("CalledNumber")
+    abroad = (size > 10) & (F.col("Type_appel") == fv.RECEIVED)
     special = (size == 10) & number.startswith("08")
     mobile = (size == 10) & number.startswith("07")
     prefix_length = F.when(special, 4).when(mobile, 3).when((size == 10) | (size == 4), 2)
@@ -27,34 +30,39 @@ def _domestic(legs: DataFrame, plan: DataFrame, rules: str, duplicates: bool) ->
         .when(size == 10, fv.TO_NATIONAL)
         .when(size == 4, fv.TO_SHORT)
         .when(size == 8, inside)
+        .when(size > 10, fv.TO_INTERNATIONAL)
         .when(number.isin(fv.EMERGENCY_NUMBERS), urgent)
         .otherwise(other)
     )
     found = prefix_lookup(
-        legs.where(size <= 10), "CalledNumber", prefix_length, plan, "_in_plan", duplicates
+        legs.where((size <= 10) | abroad), "CalledNumber", prefix_length, plan, "_in_plan", duplicates
     )
     covered = F.col("_in_plan") | prefix_length.isNull()
     emitted_short = (size == 4) & (F.col("Type_appel") == fv.EMITTED)
+    no_text = F.lit(None).cast("string")
     return found.withColumns(
         {
             "calledNumber_externe_interne": F.when(emitted_short, fv.EXTERNAL).otherwise(
                 F.col("calledNumber_externe_interne")
             ),
-            "Indicatif_numero": F.lit(None).cast("string"),
-            "Pays": F.lit(None).cast("string"),
-            "Appel_facturable": F.when(covered, fv.IN_PLAN).otherwise(fv.OUT_OF_PLAN),
+            "Indicatif_numero": no_text,
+            "Pays": no_text,
+            "Appel_facturable": F.when(size > 10, no_text)
+            .when(covered, fv.IN_PLAN)
+            .otherwise(fv.OUT_OF_PLAN),
             "Appel_vers": destination,
         }
     ).select(*fv.TARIFF_COLUMNS)
 
 
-def _international(
+def _emitted_abroad(
     legs: DataFrame, plan: DataFrame, countries: DataFrame, duplicates: bool
 ) -> DataFrame:
-    """Numbers of more than ten digits. Emitted legs count as covered if their dial code is
-    in the plan; the others are kept once, and only if no leg of the ticket is covered."""
-    abroad = legs.where(F.length("CalledNumber") > 10)
-    emitted = abroad.where(F.col("Type_appel") == fv.EMITTED)
+    """Emitted legs of more than ten digits. They are covered if their dial code is in the
+    plan; the others are kept once, and only if no leg of the ticket is covered."""
+    emitted = legs.where(
+        (F.length("CalledNumber") > 10) & (F.col("Type_appel") == fv.EMITTED)
+    )
     hits = dial_code_lookup(
         emitted, "CalledNumber", plan.select("Indicatif"), countries, duplicates=duplicates
     )
@@ -73,12 +81,8 @@ def _international(
             }
         )
     )
-    received = abroad.where(F.col("Type_appel") == fv.RECEIVED).withColumns(
-        {"Indicatif_numero": no_text, "Pays": no_text, "Appel_facturable": no_text}
-    )
     columns = [c for c in fv.TARIFF_COLUMNS if c != "Appel_vers"]
-    parts = [part.select(*columns) for part in (covered, uncovered, received)]
-    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    together = covered.select(*columns).unionByName(uncovered.select(*columns))
     return together.withColumn("Appel_vers", F.lit(fv.TO_INTERNATIONAL)).select(*fv.TARIFF_COLUMNS)
 
 
@@ -98,6 +102,6 @@ def tariff_classify(
     per branch.
     """
     countries = joined_labels(dial_codes, ["Indicatif"], "Pays", "Pays")
-    return _domestic(legs, plan, rules, duplicates).unionByName(
-        _international(legs, plan, countries, duplicates)
+    return _without_dial_code(legs, plan, rules, duplicates).unionByName(
+        _emitted_abroad(legs, plan, countries, duplicates)
     )
