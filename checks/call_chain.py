@@ -123,7 +123,7 @@ def q_user_directory(spark, sf):
 
 
 def _facts(spark, sf):
-    organisation = _organisation(spark, sf)
+    organisation = Stages(spark).keep(_organisation(spark, sf), "organisation")
     return cross_reference(
         _tariff(spark, sf), user_directory(views.users(spark, sf), organisation), organisation
     )

@@ -181,7 +181,7 @@ def organisation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nation = table(spark, sf_dir, "nation")
     nation_code = F.concat(pad(F.col("n_regionkey"), 3), pad(F.col("n_nationkey"), 2))
-    rich = table(spark, sf_dir, "supplier").where("s_acctbal > 5000")
+    rich = table(spark, sf_dir, "supplier").where("s_acctbal > 3000")
     with_supplier = nation.join(rich, F.col("n_nationkey") == F.col("s_nationkey"), "left_semi")
     centre = with_supplier.select(
         F.col("n_nationkey").cast("bigint").alias("k"),
@@ -336,7 +336,7 @@ units AS (
     '' AS cb, r_name AS label FROM region
   UNION ALL
   SELECT n_nationkey, c, d, '', '', n_name FROM nat
-  WHERE EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 5000)
+  WHERE EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 3000)
   UNION ALL
   SELECT k, c || lpad(CAST(suffix AS VARCHAR), 2, '0'), d, c,
     CASE WHEN k % 17 = 3 THEN '0000001' ELSE '' END, 'OFFICE ' || k

@@ -207,7 +207,7 @@ def test_fixture_call_of_a_caller_who_hung_up(spark):
     one = {
         "CalledNumber": "0623510002", "CallType": "9", "ChargedNumber": "57711700", "EffectiveCallDuration": "12",
         "InternFacilities": facilities(24), "endcause": "RELEASED By Caller", "bloc duration": "12.247",
-        "bloc name": "1-4 HNO ROISSY", "CallingNumber": "NULL", "WaitingDuration": "0",
+        "bloc name": "1-4 HNO", "CallingNumber": "NULL", "WaitingDuration": "0",
     }
     row = call_rules(matched(spark, one)).collect()[0]
     assert (row.Origine, row.Type_appel, row.Appels_recus, row.Appels) == ("SVI", "Appel reçu", 1, 1)
@@ -435,11 +435,11 @@ PARENTS = [unit("010", label="Direction"), unit("01000", dir="010", label="Centr
 
 
 def test_offices_need_both_parents(spark):
-    got = directory(spark, [*PARENTS, unit("0100029", "010", "01000", label="BOURG, BANLIEUE"),
+    got = directory(spark, [*PARENTS, unit("0100029", "010", "01000", label="RUE, CENTRE"),
                             unit("0100030", "010", "09999"), unit("0100031", "099", "01000"),
                             unit("0100032", "010", "01000", cb="0100029"), unit("0100033", "010", "")])
     assert len(got.columns) == 11
-    assert rows(got, "Code_UA", "Bureau", "Bureau_2", "Bureau_court") == [("0100029", "BOURG, BANLIEUE", "L2", "S")]
+    assert rows(got, "Code_UA", "Bureau", "Bureau_2", "Bureau_court") == [("0100029", "RUE, CENTRE", "L2", "S")]
     assert got.collect()[0].Date_deffet_de_letat == datetime.date(2019, 1, 1)
     labels = directory(spark, [*PARENTS, unit("0100029", "010", "01000")], with_parent_labels=True)
     assert rows(labels, "Centre_des_Impots", "Direction") == [("Centre", "Direction")]

@@ -103,7 +103,7 @@ def test_flags_by_position(spark):
 
 def test_codes_inside_text(spark):
     df = spark.createDataFrame(
-        [("BLOC-0709E05", "sip:0623510002 @node-n1.dgf;user=phone", "010 00 29 X"), ("BLOC", "tel:1", None)],
+        [("BLOC-0709E05", "sip:0623510002 @node-n1;user=phone", "010 00 29 X"), ("BLOC", "tel:1", None)],
         "b string, c string, d string",
     ).select(office_code(F.col("b")), sip_user(F.col("c")), without_blanks(F.col("d"), 7))
     assert rows(df) == [("", "", None), ("0709E05", "0623510002", "0100029")]

@@ -8,29 +8,46 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks import building_blocks, call_chain
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from compare import compare  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
+SF_CALLS = "/root/testdata/sf0.01"  # enough calls of known offices
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"]
 
 
-@pytest.fixture(scope="module")
-def connection():
+def connect(folder):
     made = duckdb.connect()
-    for path in glob.glob(f"{SF}/*.parquet"):
+    for path in glob.glob(f"{folder}/*.parquet"):
         made.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM read_parquet('{path}')")
     return made
 
 
-@pytest.mark.parametrize("name", QUERIES)
-def test_query_equals_its_sql(spark, connection, name):
+@pytest.fixture(scope="module")
+def connection():
+    return connect(SF)
+
+
+@pytest.fixture(scope="module")
+def calls_connection():
+    return connect(SF_CALLS)
+
+
+@pytest.mark.parametrize("name", building_blocks.QUERIES)
+def test_operator_equals_its_sql(spark, connection, name):
     ok, text = compare(spark, SF, name, QUERIES[name], SQL.get(name), connection)
     assert ok, text
 
 
+@pytest.mark.parametrize("name", call_chain.QUERIES)
+def test_call_stage_equals_its_sql(spark, calls_connection, name):
+    ok, text = compare(spark, SF_CALLS, name, QUERIES[name], SQL[name], calls_connection)
+    assert ok and "rows=0/" not in text, text
+
+
 def test_compare_sees_a_wrong_value_and_a_wrong_name(spark, connection):
     query = QUERIES["repeat_five_times"]
     sql = SQL["repeat_five_times"]
