@@ -13,16 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``. Only a local session may go without: it
-    gets a temporary folder, since its executors are this machine."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="callweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """Folder named by ``spark.checkpoint.dir``, or else by ``setCheckpointDir``. Only a local
+    session may go without: it gets a temporary folder, since its executors are this
+    machine."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="callweave-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 class Stages:

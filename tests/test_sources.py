@@ -1,6 +1,7 @@
 import datetime
 import glob
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +120,30 @@ def test_stage_survives_its_source_and_prunes(spark, tmp_path):
     assert kept.count() == 10
 
 
+class FakeContext:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder_is_the_sessions_or_temporary_only_when_local():
+    def fake(master, named):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: named), sparkContext=FakeContext(master)
+        )
+
+    assert shared_folder(fake("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    local = fake("local[2]", None)
+    assert shared_folder(local) == shared_folder(local) == local.sparkContext.folder
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(fake("yarn", None))
+
+
 def test_regression_of_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id;v\n1;x\n2;y\n")
     (tmp_path / "b.csv").write_text("v;id\nx;1\nz;2\n")
