@@ -91,7 +91,8 @@ def run_day(
     stages: Stages | None = None,
 ) -> DataFrame:
     """Read the files of a day, replace its partition in ``<result>/facts`` (ORC by
-    ``jour``), write both exports as CSV, and return the stored facts of the day."""
+    ``jour``), write both exports as CSV, and return the stored facts of the day. The stage
+    tables are removed at the end, unless the caller gave the place for them."""
     reference = Reference(
         users=read_csv(spark, paths.users),
         organisation_lines=read_lines(spark, paths.organisation),
@@ -99,11 +100,12 @@ def run_day(
         numbering_plan=read_csv(spark, paths.numbering_plan),
         dial_codes=read_csv(spark, paths.dial_codes),
     )
+    kept = stages or Stages(spark)
     facts = day_facts(
         read_tickets(spark, paths.tickets),
         read_ivr_blocks(spark, paths.ivr_blocks),
         read_ivr_calls(spark, paths.ivr_calls),
-        reference, day, stages or Stages(spark), zone, rules,
+        reference, day, kept, zone, rules,
     )
     label = day.isoformat()
     write_day(facts, f"{result}/facts", label)
@@ -112,4 +114,6 @@ def run_day(
     compact = label.replace("-", "")
     export_sorted_csv(stats_export(stored), f"{result}/stats/{compact}")
     export_sorted_csv(office_export(stored), f"{result}/offices/{compact}")
+    if stages is None:
+        kept.remove()
     return stored

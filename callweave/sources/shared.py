@@ -40,3 +40,8 @@ class Stages:
         """Write the rows once and return them read back."""
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def remove(self) -> None:
+        """Delete the stage tables. Only results that were stored elsewhere remain readable."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -118,6 +118,8 @@ def test_stage_survives_its_source_and_prunes(spark, tmp_path):
     assert os.path.isdir(stages.path("s").replace("file:", ""))
     assert "t:string" not in kept.select("id")._jdf.queryExecution().executedPlan().toString()
     assert kept.count() == 10
+    stages.remove()
+    assert not os.path.exists(stages.path("s").replace("file:", ""))
 
 
 class FakeContext:
@@ -176,7 +178,9 @@ def test_run_day_from_files(spark, tmp_path):
     paths = DayPaths(*[str(tmp_path / n) for n in (
         "tickets", "calls", "blocks", "users", "organisation", "layout", "plan", "codes")])
     result = str(tmp_path / "result")
+    before = set(os.listdir(shared_folder(spark).replace("file:", "")))
     facts = run_day(spark, paths, day, result)
+    assert set(os.listdir(shared_folder(spark).replace("file:", ""))) == before
     first = facts.count()
     assert first > 0 and {r.jour for r in facts.select("jour").distinct().collect()} == {"2024-01-10"}
     other = datetime.date(2024, 1, 9)
