@@ -15,7 +15,8 @@ from compare import compare  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 SF_CALLS = "/root/testdata/sf0.01"  # enough calls of known offices
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = building_blocks.QUERIES | call_chain.QUERIES
+SQL = building_blocks.SQL | call_chain.SQL
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"]
 
 
