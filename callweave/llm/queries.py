@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from callweave.llm import decontamination, quality_rules, simhash
+from callweave.llm import decontamination, packing, quality_rules, simhash, token_files
 from callweave.llm.common import read
 
 QUERIES, SQL = {}, {}
@@ -44,3 +45,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("posterior", 6).alias("posterior"),
     )
+
+
+@registered
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, length and checksum of every document, read back from the files."""
+    folder = token_files.token_folder(spark)
+    token_files.write_tokens(
+        read(spark, sf_dir, "documents", "doc_id", "text"), folder, public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return token_files.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@registered
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece in its sequence."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    pieces = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"])
+    return pieces.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
