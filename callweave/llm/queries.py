@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from callweave.llm import decontamination, packing, quality_rules, simhash, token_files
-from callweave.llm.common import read
+from callweave.llm import decontamination, packing, pii, quality_rules, simhash, token_files, url_rules, warc
+from callweave.llm.common import read, stages
 
 QUERIES, SQL = {}, {}
 
@@ -63,3 +63,43 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     pieces = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"])
     return pieces.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+#: Rules that the contract of op3 names.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@registered
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, given rule and verdict of every page."""
+    labels = read(spark, sf_dir, "labels", "doc_id", (F.col("quality") == 0).alias("block"))
+    judged = url_rules.judged(read(spark, sf_dir, "pages", "page_id", "url"), labels, URL_RULES)
+    return judged.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+@registered
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives."""
+    folder = stages(spark).folder
+    warc.write_archives(read(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    return warc.read_archives(spark, folder).select(
+        F.expr("try_cast(record_id as long)").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+@registered
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts of plain spans, their digest, and all spans."""
+    found = pii.with_spans(read(spark, sf_dir, "documents", "doc_id", "text"), carry=["doc_id"])
+    plain = F.filter("spans", lambda s: ~s["disguised"])
+    return found.select(
+        "row.doc_id",
+        *[F.size(F.filter(plain, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        sha256(_joined(plain)).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
