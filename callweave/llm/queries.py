@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from callweave.llm import decontamination, packing, pii, quality_rules, simhash, token_files, url_rules, warc
+from callweave.llm import (
+    decontamination,
+    kneser_ney,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_files,
+    url_rules,
+    warc,
+)
 from callweave.llm.common import read, stages
 
 QUERIES, SQL = {}, {}
@@ -103,3 +114,32 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@registered
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under a model of the good and harmless labelled ones, and
+    whether it stays below its language's quantile."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    trusted = read(spark, sf_dir, "labels", "doc_id", "quality", "toxic").where("quality = 1 and toxic = 0")
+    return kneser_ney.classified(docs, trusted)
+
+
+@registered
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document remains without passages of documents before it."""
+    found = suffix_dedup.shared_passages(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+SQL["op6_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+     m AS (SELECT *, max(CASE WHEN payload_bytes >= 1000 THEN page_id END) OVER (PARTITION BY payload_digest, payload_bytes) AS best FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < best THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < best THEN best END AS refers_to
+FROM m
+"""
