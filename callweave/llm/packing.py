@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from callweave.llm.common import slices, stages, text_column
-from callweave.llm.tokens import Encoder
+from callweave.llm.tokens import ENCODED_BYTES, Encoder
 
 CAPACITY = 2048
 #: Exchanges that the local search tries at most; each is for all bins with the same content.
@@ -156,7 +156,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, end_id: int, wit
     def cut(batches):
         encoder, part = Encoder.of_worker(tokenizer_file), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=ENCODED_BYTES):
             ids, at = encoder.encode(batch.column("text"))
             ids = np.insert(ids, at[1:], end_id).astype("<u4")  # the end id after each text
             at = at + np.arange(len(at))

@@ -29,12 +29,16 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from callweave.llm.common import batch_of, mixed, one_array, ranges, slices, stages, text_column
 from callweave.llm.components import components
 
 WORDS, RADIUS, SEED = 4, 4, 42
+#: Of similar texts: words of a shingle, least similarity, 64-bit words of a fingerprint, tables.
+SIMILAR_WORDS, SIMILARITY, WIDE, TABLES = 5, 0.8, 4, 40
+#: Bits of a table's key at least.
+KEY_BITS = 16
 #: Members of a shard that the number of blocks aims at, at most.
 SHARD_MEMBERS = 256
 #: Pairs of a fingerprint and a node that a task looks at in one step.
@@ -51,12 +55,13 @@ def _hashes(text: bytes, words: int, seed: int) -> list[int]:
     return [digest(joined[a : b - 1], seed) for a, b in zip(starts, starts[words:])]
 
 
-def fingerprints_of(texts: list[bytes], words: int = WORDS, seed: int = SEED) -> np.ndarray:
-    """Fingerprints of texts. Bits are counted in byte lanes, over at most 255 hashes at a time."""
+def fingerprints_of(texts: list[bytes], words: int = WORDS, seed: int = SEED, wide: int = 1) -> np.ndarray:
+    """Fingerprints of texts as rows of ``wide`` numbers, the first from the shingles' hashes, the
+    others from these mixed. Bits are counted in byte lanes, over at most 255 hashes at a time."""
     lists = [_hashes(t, words, seed) for t in texts]
     counts = np.array([len(x) for x in lists], dtype=np.int64)
     h = np.fromiter(itertools.chain.from_iterable(lists), dtype=np.uint64, count=int(counts.sum()))
-    out = np.zeros(len(texts), np.uint64)
+    out = np.zeros((len(texts), wide), np.uint64)
     full = np.flatnonzero(counts)
     if not len(full):
         return out
@@ -64,26 +69,38 @@ def fingerprints_of(texts: list[bytes], words: int = WORDS, seed: int = SEED) ->
     begins = np.repeat(np.cumsum(counts)[full] - counts[full], parts) + 255 * ranges(np.zeros(len(full)), parts)
     first = np.cumsum(parts) - parts
     lanes = np.uint64(0x0101010101010101)
-    for bit in range(8):
-        sums = np.add.reduceat((h >> np.uint64(bit)) & lanes, begins)
-        by_byte = np.add.reduceat(sums.view(np.uint8).reshape(-1, 8).astype(np.int64), first, axis=0)
-        over = 2 * by_byte > counts[full][:, None]
-        for byte in range(8):
-            out[full] |= over[:, byte].astype(np.uint64) << np.uint64(8 * byte + bit)
+    for w in range(wide):
+        if w:
+            h = mixed(h + np.uint64(0x9E3779B97F4A7C15))
+        for bit in range(8):
+            sums = np.add.reduceat((h >> np.uint64(bit)) & lanes, begins)
+            by_byte = np.add.reduceat(sums.view(np.uint8).reshape(-1, 8).astype(np.int64), first, axis=0)
+            over = 2 * by_byte > counts[full][:, None]
+            for byte in range(8):
+                out[full, w] |= over[:, byte].astype(np.uint64) << np.uint64(8 * byte + bit)
     return out
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """``row`` and ``text`` in; ``row`` and the long ``fp`` out."""
-    row = docs.schema["row"]
+def fingerprints(docs: DataFrame, words: int = WORDS, wide: int = 1) -> DataFrame:
+    """``row`` and ``text`` in; ``row`` and the fingerprint out, as longs ``fp``, ``fp1``, ..."""
+    row, names = docs.schema["row"], _names(wide)
 
     def mark(batches):
         for part in slices(batches):
             texts = [(t or "").encode() for t in one_array(part.column("text")).to_pylist()]
-            fp = pa.array(fingerprints_of(texts, words, seed).view(np.int64))
-            yield pa.RecordBatch.from_arrays([part.column("row"), fp], names=["row", "fp"])
+            fp = fingerprints_of(texts, words, SEED, wide).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column("row"), *(pa.array(fp[:, w].copy()) for w in range(wide))], names=["row", *names])
 
-    return docs.select("row", "text").mapInArrow(mark, f"row {row.dataType.simpleString()}, fp long")
+    return docs.select("row", "text").mapInArrow(mark, f"row {row.dataType.simpleString()}, " + ", ".join(f"{n} long" for n in names))
+
+
+def _names(wide: int) -> list[str]:
+    return ["fp", *(f"fp{w}" for w in range(1, wide))]
+
+
+def radius_of(similarity: float, wide: int) -> int:
+    """Bits that fingerprints of texts with this Jaccard similarity differ in, on average."""
+    return round(64 * wide * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
 def blocks_for(n: int, radius: int) -> int:
@@ -105,21 +122,24 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _distance(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1, dtype=np.int64)
+
+
 def bk_trees(shard: np.ndarray, fp: np.ndarray):
     """BK-trees of all shards; rows of a shard stand together and differ in ``fp``.
 
     Gives the root of each row's tree, and children sorted by parent and edge: the code
-    parent * 65 + edge, and the child itself.
+    parent * (bits + 1) + edge, and the child itself.
     """
-    n = len(fp)
-    root = np.zeros(n, np.int64)
+    n, base = len(fp), 64 * fp.shape[1] + 1
     new = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if n else np.zeros(0, np.int64)
-    root[:] = np.repeat(new, np.diff(np.r_[new, n]))
+    root = np.repeat(new, np.diff(np.r_[new, n]))
     codes, children = [], []
     active = np.flatnonzero(root != np.arange(n))
     at = root[active]
     while len(active):
-        code = at * 65 + np.bitwise_count(fp[active] ^ fp[at]).astype(np.int64)
+        code = at * base + _distance(fp, active, at)
         order = np.argsort(code, kind="stable")  # rows stay in order, so the first is the least
         code, active = code[order], active[order]
         head = np.r_[True, code[1:] != code[:-1]]
@@ -137,17 +157,18 @@ def bk_trees(shard: np.ndarray, fp: np.ndarray):
 
 def linked(shard: np.ndarray, fp: np.ndarray, radius: int) -> np.ndarray:
     """For each row the least row of its shard that it is connected with by links."""
+    bits = 64 * fp.shape[1]
     root, code, child = bk_trees(shard, fp)
     label = np.arange(len(fp))
     everyone = np.flatnonzero(root != label)
     todo = [(everyone[i : i + FRONT], root[everyone[i : i + FRONT]]) for i in range(0, len(everyone), FRONT)]
     while todo:
         query, node = todo.pop()
-        d = np.bitwise_count(fp[query] ^ fp[node]).astype(np.int64)
+        d = _distance(fp, query, node)
         near = d <= radius
         _join(label, query[near], node[near])
-        low = np.searchsorted(code, node * 65 + np.maximum(d - radius, 0))
-        high = np.searchsorted(code, node * 65 + np.minimum(d + radius, 64), side="right")
+        low = np.searchsorted(code, node * (bits + 1) + np.maximum(d - radius, 0))
+        high = np.searchsorted(code, node * (bits + 1) + np.minimum(d + radius, bits), side="right")
         query = np.repeat(query, high - low)
         node = child[ranges(low, high - low)]
         earlier = node < query
@@ -172,69 +193,87 @@ def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = up
 
 
-def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links that connect what is within the radius, from a column ``fp`` of distinct
-    fingerprints: ``a`` and ``b``, at most one for each fingerprint and shard."""
-    n = distinct.count()
+def block_keys(n: int, radius: int) -> list[Column]:
+    """Shards for a radius of few bits of ``fp``: every link is in one of them."""
     masks = shard_masks(blocks_for(n, radius), radius)
-    keys = [F.struct(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(mask)))).alias("shard"))
-            for i, mask in enumerate(masks)]
-    members = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.shard", "fp")
-    parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * len(masks) / 500_000))
+    return [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(mask)))) for i, mask in enumerate(masks)]
+
+
+def table_keys(n: int, wide: int, tables: int = TABLES) -> list[Column]:
+    """Shards by samples of bits, drawn without order from all bits of the fingerprint."""
+    bits = max(KEY_BITS, math.ceil(math.log2(max(n, 1) / 64)))
+    keys, names = [], _names(wide)
+    for t in range(tables):
+        drawn = np.random.default_rng(t).choice(64 * wide, bits, replace=False).tolist()
+        masks = [sum(1 << (b % 64) for b in drawn if b // 64 == w) for w in range(wide)]
+        keys.append(F.xxhash64(F.lit(t), *[F.col(name).bitwiseAND(F.lit(_signed(m))) for name, m in zip(names, masks)]))
+    return keys
+
+
+def links(distinct: DataFrame, keys: list[Column], n: int, radius: int, wide: int = 1) -> DataFrame:
+    """Links that connect what is within the radius in some shard: ``a`` and ``b`` of the column
+    ``node``, at most one for each node and shard."""
+    names = ["shard", "node", *_names(wide)]
+    members = distinct.withColumn("shard", F.explode(F.array(*keys))).select(*names)
+    parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * len(keys) / 500_000))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def search(batches):
-        pairs = [(b.column("shard").to_numpy(), b.column("fp").to_numpy()) for b in batches]
-        if not pairs:
+        columns = [[b.column(name).to_numpy() for name in names] for b in batches]
+        if not columns:
             return
-        shard, fp = map(np.concatenate, zip(*pairs))
-        order = np.lexsort((mixed_order(fp), shard))
-        shard, fp = shard[order], fp[order].view(np.uint64)
+        shard, node, *fp = (np.concatenate(c) for c in zip(*columns))
+        fp = np.stack(fp, axis=1).view(np.uint64)
+        order = np.lexsort((mixed(node.view(np.uint64)), shard))  # not by bits, so that trees stay shallow
+        shard, node, fp = shard[order], node[order], fp[order]
         label = linked(shard, fp, radius)
         other = np.flatnonzero(label != np.arange(len(label)))
-        yield batch_of(schema, fp[other].view(np.int64), fp[label[other]].view(np.int64))
+        yield batch_of(schema, node[other], node[label[other]])
 
     return members.repartition(parts, "shard").mapInArrow(search, "a long, b long").distinct()
 
 
-def mixed_order(fp: np.ndarray) -> np.ndarray:
-    """An order of members that has nothing to do with their bits, so that trees stay shallow."""
-    return mixed(fp.view(np.uint64))
-
-
-def _marked(docs: DataFrame, text: str, doc_id: str, carry: list[str] | None, words: int, radius: int):
-    """Stage tables: rows with id, number and fingerprint; and each fingerprint's root."""
-    kept = stages(docs.sparkSession)
+def _marked(docs: DataFrame, text: str, doc_id: str, carry: list[str] | None, words: int, wide: int):
+    """Stage tables: rows with id, number and fingerprint; distinct fingerprints with their least id
+    and, as ``node``, a number of their own."""
+    kept, names = stages(docs.sparkSession), _names(wide)
     rows = docs.select(F.struct(*(carry or ["*"])).alias("row"), F.col(doc_id).alias("id"), text_column(text).alias("text"))
     marked = kept.keep(
-        fingerprints(rows.select(F.struct("row", "id").alias("row"), "text"), words)
-        .select("row.row", "row.id", "fp", F.monotonically_increasing_id().alias("number")),
+        fingerprints(rows.select(F.struct("row", "id").alias("row"), "text"), words, wide)
+        .select("row.row", "row.id", *names, F.monotonically_increasing_id().alias("number")),
         "fingerprints",
     )
-    distinct = kept.keep(marked.groupBy("fp").agg(F.min("id").alias("id")), "distinct")
-    roots = components(links(distinct.select("fp"), radius))
-    named = kept.keep(
-        distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-        .select("fp", "id", F.coalesce("root", "fp").alias("root")),
+    distinct = kept.keep(marked.groupBy(*names).agg(F.min("id").alias("id"), F.min("number").alias("node")), "distinct")
+    return kept, marked, distinct
+
+
+def _named(kept, distinct: DataFrame, edges: DataFrame) -> DataFrame:
+    roots = components(edges)
+    return kept.keep(
+        distinct.join(roots, "node", "left").select(*[c for c in distinct.columns if c != "node"], F.coalesce("root", "node").alias("root")),
         "named",
     )
-    return marked, named
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None,
                     words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """Every row as column ``row`` (or the columns ``carry`` of it), its ``fp`` and the
-    ``component_id``: the least id that is reachable by links."""
-    marked, named = _marked(docs, text, doc_id, carry, words, radius)
+    ``component_id``: the least id that is reachable by links of at most ``radius`` bits."""
+    kept, marked, distinct = _marked(docs, text, doc_id, carry, words, 1)
+    n = distinct.count()
+    named = _named(kept, distinct, links(distinct, block_keys(n, radius), n, radius))
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
     return marked.drop("id", "number").join(named.join(least, "root").select("fp", "component_id"), "fp")
 
 
-def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS,
-                radius: int = RADIUS) -> DataFrame:
-    """The given columns of one row of each component: that with the least id, null ids last,
-    and the first of rows with the same id."""
-    marked, named = _marked(docs, text, doc_id, None, words, radius)
-    narrow = marked.select("fp", F.struct(F.col("id").isNull().alias("no_id"), "id", "number").alias("first"))
-    first = narrow.join(named.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = SIMILAR_WORDS,
+                similarity: float = SIMILARITY) -> DataFrame:
+    """The given columns of one row of each group of similar texts: that with the least id, null ids
+    last, and the first of rows with the same id."""
+    names = _names(WIDE)
+    kept, marked, distinct = _marked(docs, text, doc_id, None, words, WIDE)
+    n = distinct.count()
+    named = _named(kept, distinct, links(distinct, table_keys(n, WIDE), n, radius_of(similarity, WIDE), WIDE))
+    narrow = marked.select(*names, F.struct(F.col("id").isNull().alias("no_id"), "id", "number").alias("first"))
+    first = narrow.join(named.select(*names, "root"), names).groupBy("root").agg(F.min("first").alias("first"))
     return marked.join(first.select("first.number"), "number", "left_semi").select("row.*")

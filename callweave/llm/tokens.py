@@ -21,8 +21,20 @@ from callweave.llm.common import one_array, ranges, worker_cache
 #: White space of Unicode.
 WHITE = "\t-\r \x85\xa0  -     　"
 PIECE = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+#: Before pieces without a space before them; texts that hold it are not plain.
+GLUE = "\0"
 #: Pieces that a worker remembers; twice as many while the older half is still in use.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 250_000
+#: Bytes of text that are encoded at a time.
+ENCODED_BYTES = 3 << 20
+
+
+#: Pieces that are empty or have white space at an edge.
+EDGE = f"^$|^[{WHITE}]|[{WHITE}]$"
+
+
+def _flags(column) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(bool)
 
 
 class Encoder:
@@ -53,17 +65,17 @@ class Encoder:
         if len(self.known) > KEPT_PIECES:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
+        found = list(map(known.get, pieces))
         missing = []
-        for p in pieces:
-            if p not in known:
-                if p in older:
-                    known[p] = older[p]
-                else:
-                    missing.append(p)
+        for p in [p for p, ids in zip(pieces, found) if ids is None]:
+            if p in older:
+                known[p] = older[p]
+            else:
+                missing.append(p)
         for i in range(0, len(missing), 20_000):
             part = missing[i : i + 20_000]
             known.update(zip(part, self._ids(part)))
-        return [known[p] for p in pieces]
+        return [known[p] if ids is None else ids for p, ids in zip(pieces, found)]
 
     def _odd(self, text: str) -> bytes:
         if any(s in text for s in self.special):
@@ -77,30 +89,40 @@ class Encoder:
         """All ids, and where each text's begin in them (one more than texts).
 
         Plain texts, in which single spaces and line ends stand between other characters, are
-        split and made distinct by Arrow; a space belongs to the piece after it. All others,
-        also those with other white space at the edge of a piece, go through ``PIECE``.
+        split and made distinct by Arrow; a space belongs to the piece after it, unless that
+        begins with ``GLUE``. Line ends are pieces, and so are points and commas between a letter
+        and a space, where a pre-token ends anyway. All others, also those with other white
+        space at the edge of a piece, go through ``PIECE``.
         """
         texts = one_array(texts).cast(pa.large_string()).fill_null("")
-        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
+        cut = pc.replace_substring(texts, "\n", f" {GLUE}\n {GLUE}")
+        cut = pc.replace_substring_regex(cut, "([A-Za-zÀ-ɏ])([.,]) ", f"\\1 {GLUE}\\2 ")
+        split = pc.split_pattern(cut, " ")
         first = split.offsets.to_numpy() - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
-        codes, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
-        odd_word = np.array([not w or (w != "\n" and (w[0].isspace() or w[-1].isspace())) for w in words], dtype=bool)
+        codes, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        glued = _flags(pc.starts_with(words, GLUE))
+        words = pc.replace_substring_regex(words, f"^{GLUE}", "")
+        odd_word = _flags(pc.match_substring_regex(words, EDGE)) & ~_flags(pc.equal(words, "\n"))
         for s in self.special:
-            odd_word |= np.array([s in w for w in words], dtype=bool)
+            odd_word |= _flags(pc.match_substring(words, s))
         odd_piece = np.r_[0, np.cumsum(odd_word[codes])] if len(codes) else np.zeros(1, np.int64)
-        odd = (odd_piece[first[1:]] > odd_piece[first[:-1]]) | np.array([any(" " in s and s in t for s in self.special) for t in texts.to_pylist()] if any(" " in s for s in self.special) else False)
-        line = np.array([w == "\n" for w in words], dtype=bool)[codes] if len(codes) else np.zeros(0, bool)
-        alone = line | np.r_[True, line[:-1]] if len(codes) else line
+        odd = odd_piece[first[1:]] > odd_piece[first[:-1]]
+        if any(" " in s for s in self.special):
+            odd |= np.array([any(s in t for s in self.special) for t in texts.to_pylist()], dtype=bool)
+        odd |= _flags(pc.match_substring(texts, GLUE))
+        alone = glued[codes] if len(codes) else np.zeros(0, bool)
         alone[first[:-1][first[:-1] < len(codes)]] = True
         key = codes.astype(np.int64) * 2 + alone
         used = np.zeros(2 * len(words), bool)
         used[key[~np.repeat(odd, np.diff(first))]] = True
         wanted = np.flatnonzero(used)
-        found = self._pieces([words[k >> 1] if k & 1 else " " + words[k >> 1] for k in wanted.tolist()])
+        whole = words.take(pa.array(wanted >> 1))
+        spaced = pc.binary_join_element_wise(pa.scalar(" ", whole.type), whole, pa.scalar("", whole.type))
+        found = self._pieces(pc.if_else(pa.array((wanted & 1).astype(bool)), whole, spaced).to_pylist())
         place = np.zeros(2 * len(words) + 1, np.int64)
         place[wanted] = np.arange(len(wanted))
-        size = np.array([len(b) // 4 for b in found], dtype=np.int64)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         begin = np.cumsum(size) - size
         pool = np.frombuffer(b"".join(found), dtype="<u4")
         out, counts = [], np.zeros(len(texts), np.int64)
@@ -119,4 +141,5 @@ class Encoder:
                     out.append(ids)
                     counts[i] = len(ids)
                 at = b
+        pa.default_memory_pool().release_unused()
         return np.concatenate([np.zeros(0, "<u4"), *out]), np.r_[0, np.cumsum(counts)]
