@@ -43,10 +43,14 @@ LENGTH, GRAM = 50, 24
 WINDOWS = LENGTH - GRAM + 1
 WIDTH = LENGTH + WINDOWS - 1  # longest content of a record
 BLOCK_BYTES = 2 << 20
+#: Bytes of text, and rows of bytes, that become arrays at a time.
+RUN_BYTES, ROWS = 1 << 19, 8192
 #: Records that a bucket aims at, and sampled suffixes for each bucket (at most SAMPLES in all).
-BUCKET_RECORDS, SAMPLES = 150_000, 100_000
+BUCKET_RECORDS, SAMPLES = 80_000, 50_000
+#: Blocks that are sampled for the splitters, at most twice as many.
+SAMPLED_BLOCKS = 64
 #: Windows that are compared at a time.
-CHUNK = 200_000
+CHUNK = 50_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -60,40 +64,61 @@ def _words(data: np.ndarray) -> np.ndarray:
 
 
 def records(data: np.ndarray, at: np.ndarray, known: np.ndarray):
-    """Records of the texts whose id is known: hash of the anchor, first window, number of windows, anchor's distance from
-    the first window, and the text."""
-    n = len(data) - LENGTH + 1
-    none = np.zeros(0, np.int64)
-    if n <= 0:
+    """Records of the texts whose id is known: hash of the anchor, first window, number of windows,
+    anchor's distance from the first window, and the text."""
+    parts, begin = [], 0
+    while begin < len(at) - 1:  # a run of texts at a time, so that arrays stay small
+        end = max(int(np.searchsorted(at, at[begin] + RUN_BYTES, side="right")) - 1, begin + 1)
+        found = _records(data[at[begin] : at[end]], at[begin : end + 1] - at[begin], known[begin:end])
+        if found:
+            hashes, first, count, lead, text = found
+            parts.append((hashes, first + at[begin], count, lead, text + begin))
+        begin = end
+    if not parts:
+        none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none, none
+    return tuple(np.concatenate(c) for c in zip(*parts))
+
+
+def _records(data: np.ndarray, at: np.ndarray, known: np.ndarray):
+    n, m = len(data) - LENGTH + 1, len(data) - GRAM + 1
+    if n <= 0:
+        return None
     word = _words(data)
-    m = len(data) - GRAM + 1
-    hashes = mixed(word[:m] * _A ^ mixed(word[8 : m + 8] * _B + mixed(word[16 : m + 16] * _C)))
-    best, place, span = hashes, np.arange(m, dtype=np.int32), 1
+    hashes = word[:m] * _A
+    hashes += word[8 : m + 8] * _B
+    hashes += word[16 : m + 16] * _C
+    hashes = mixed(hashes)
+    # Least upper half of the hash; the place below it makes the leftmost of equal ones the least.
+    best, span = hashes & np.uint64(0xFFFFFFFF00000000) | np.arange(m, dtype=np.uint64), 1
     while span < WINDOWS:
         step = min(span, WINDOWS - span)
-        size = len(best) - step
-        right = best[step:] < best[:size]
-        best = np.where(right, best[step:], best[:size])
-        place = np.where(right, place[step:], place[:size])
+        best = np.minimum(best[:-step], best[step:])
         span += step
     last = np.repeat(np.where(known, at[1:], 0), np.diff(at))[:n]
     valid = np.flatnonzero(last - np.arange(n) >= LENGTH)
     if not len(valid):
-        return none.astype(np.uint64), none, none, none, none
-    anchor = place[valid]
+        return None
+    anchor = (best[valid] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (valid[1:] != valid[:-1] + 1)])
     first, count = valid[new], np.diff(np.r_[new, len(valid)])
-    a = anchor[new].astype(np.int64)
-    return hashes[a], first, count, a - first, np.searchsorted(at, first, side="right") - 1
+    return hashes[anchor[new]], first, count, anchor[new] - first, np.searchsorted(at, first, side="right") - 1
 
 
 def content(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Bytes of the records' windows as rows, zero beyond their end, padded to whole words."""
-    size = count + LENGTH - 1
     out = np.zeros((len(first), -(-WIDTH // 8) * 8), np.uint8)
-    rows = np.repeat(np.arange(len(first)), size)
-    out[rows, ranges(np.zeros(len(first)), size)] = data[ranges(first, size)]
+    for i in range(0, len(first), ROWS):
+        size = count[i : i + ROWS] + LENGTH - 1
+        out[np.repeat(np.arange(i, i + len(size)), size), ranges(np.zeros(len(size)), size)] = data[ranges(first[i : i + ROWS], size)]
+    return out
+
+
+def _cut_out(rows: np.ndarray, record: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """``length`` bytes of the given rows from ``start`` on."""
+    out = np.zeros((len(record), length), np.uint8)
+    for i in range(0, len(record), ROWS):
+        out[i : i + ROWS] = rows[record[i : i + ROWS, None], start[i : i + ROWS, None] + np.arange(length)]
     return out
 
 
@@ -149,7 +174,7 @@ def multikey_order(words: list[np.ndarray]) -> np.ndarray:
 def least_ids(rows, count, lead, least, largest):
     """Runs of windows that some smaller id than the record's largest has: record, first window in
     it, number of windows and that least id."""
-    anchor = rows[np.arange(len(rows))[:, None], lead[:, None] + np.arange(GRAM)]
+    anchor = _cut_out(rows, np.arange(len(rows)), lead, GRAM)
     words = [anchor[:, i : i + 8].copy().view(">u8").ravel().astype(np.uint64) for i in range(0, GRAM, 8)]
     order = multikey_order(words)
     same = np.ones(max(len(order) - 1, 0), bool)
@@ -192,7 +217,7 @@ def _compared(part, rows, count, least, largest):
     record = np.repeat(part, n)
     window = ranges(np.zeros(len(part)), n)
     text = np.zeros((len(record), -(-LENGTH // 8) * 8), np.uint8)
-    text[:, :LENGTH] = rows[record[:, None], window[:, None] + np.arange(LENGTH)]
+    text[:, :LENGTH] = _cut_out(rows, record, window, LENGTH)
     one, two = _digest(text, 4), _digest(text, 5)
     order = np.lexsort((two, one))
     a, b = one[order], two[order]
@@ -294,9 +319,11 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     kept = stages(spark)
     size = docs.select(F.sum(F.octet_length(text_column(text)))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hash_buckets = max(parts, size // (24 << 20))
+    hash_buckets = max(parts, size // (8 << 20))
     source = kept.keep(blocks(docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_column(text).alias("text"))), "blocks")
-    rate = max(size // 14 // SAMPLES, 1)
+    n_blocks = source.count()
+    every = max(n_blocks // SAMPLED_BLOCKS, 1)
+    rate = max(size // every // 14 // SAMPLES, 1)
 
     def hashed(batches):
         for part, block, ids, known, data, at in _each(batches):
@@ -356,11 +383,11 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             (rows, count, lead, _, _), _ = wanted_of(answers, part, block, ids, known, data, at)
             pick = np.flatnonzero(_digest(rows, 6) % np.uint64(rate) == 0)
             anchors = [rows[i, lead[i] : lead[i] + GRAM].tobytes() for i in pick.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(anchors, pa.binary()), pa.array(np.full(len(pick), len(rows)))], names=["anchor", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(anchors, pa.binary())], names=["anchor"])
 
-    sample = kept.keep(source.mapInArrow(sampled, "anchor binary, n long"), "sample")
-    anchors = sorted(bytes(r[0]) for r in sample.select("anchor").orderBy(F.xxhash64("anchor")).limit(SAMPLES).collect())
-    buckets = max(parts, len(anchors) * rate // BUCKET_RECORDS)
+    some = source.where(F.pmod(F.xxhash64("part", "block"), F.lit(every)) == 0)  # for splitters only
+    anchors = sorted(bytes(r[0]) for r in some.mapInArrow(sampled, "anchor binary").limit(4 * SAMPLES).collect())
+    buckets = max(parts, len(anchors) * rate * every // BUCKET_RECORDS)
     splitters = np.array(sorted({anchors[i * len(anchors) // buckets] for i in range(1, buckets)} if anchors else set()), dtype=f"S{GRAM}")
 
     def sent(batches):
@@ -369,7 +396,7 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             (rows, count, lead, least, largest), _ = wanted_of(answers, part, block, ids, known, data, at)
             if not len(rows):
                 continue
-            anchor = np.ascontiguousarray(rows[np.arange(len(rows))[:, None], lead[:, None] + np.arange(GRAM)]).view(f"S{GRAM}").ravel()
+            anchor = _cut_out(rows, np.arange(len(rows)), lead, GRAM).view(f"S{GRAM}").ravel()
             bucket = np.searchsorted(splitters, anchor, side="right")
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(len(splitters) + 2))
