@@ -123,7 +123,7 @@ def _cut_out(rows: np.ndarray, record: np.ndarray, start: np.ndarray, length: in
 
 
 def _digest(rows: np.ndarray, seed: int) -> np.ndarray:
-    words = np.ascontiguousarray(rows).view("<u8").reshape(len(rows), -1)
+    words = np.ascontiguousarray(rows).view("<u8").reshape(len(rows), rows.shape[1] // 8)
     total = np.full(len(rows), seed, np.uint64)
     for i in range(words.shape[1]):
         total = mixed(total ^ words[:, i]) + _B

@@ -2,7 +2,8 @@
 
 run(spark, sf_dir) applies them. Rejected by the rules: gone. Of near-duplicates the row with
 the least id stays (the first of rows with the same id). Contaminated
-documents go. Personal data is replaced by its kind in brackets. The last stage packs tokens.
+documents go. Personal data is replaced by its kind in brackets, and n_chars follows. The last
+stage packs the tokens: its rows are pieces with their ids and place, no longer documents.
 
 Every stage takes null and empty texts, repeated rows, empty tables and extra columns: an
 operator sees the given row as one struct, so no name can clash.
@@ -10,9 +11,10 @@ operator sees the given row as one struct, so no name can clash.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callweave.llm import decontamination, quality_rules, simhash
+from callweave.llm import decontamination, packing, pii, quality_rules, simhash
 from callweave.llm.common import read, stages
 
 
@@ -22,7 +24,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group."""
+    """One document of each group of texts whose 5-word shingles have a similarity of 0.8."""
     return simhash.one_of_each(docs)
 
 
@@ -32,10 +34,26 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontamination.contamination(docs, items).where("not contaminated").select("row.*")
 
 
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the kind of personal data in its place; a null text stays null."""
+    found = pii.with_spans(docs)
+    text = F.when(F.col("row.text").isNotNull(), F.col("redacted"))
+    columns = {"text": text, "n_chars": F.length(text).cast("long")}
+    return found.select(*[columns.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their ids, sequence and offset in it."""
+    pieces = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"], with_ids=True)
+    return pieces.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
+
+
 STAGES = [
     ("quality_rules", quality_stage),
     ("simhash_near_duplicates", near_duplicate_stage),
     ("benchmark_decontamination", decontamination_stage),
+    ("personal_data", personal_data_stage),
+    ("best_fit_packing", packing_stage),
 ]
 
 #: EM, fingerprints, transducers and packing are beyond SQL; the stages are tested by brute force.
