@@ -29,6 +29,7 @@ lose nor take anything. Rows of the same id take nothing from each other.
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -245,32 +246,47 @@ def _unpack(packed: bytes) -> pa.Table:
     return pa.ipc.open_stream(packed).read_all()
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` in; rows of some megabytes of documents out."""
-    schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.string()))])
+def write_blocks(docs: DataFrame, folder: str, path: str) -> DataFrame:
+    """Write ``doc_id`` and ``text`` as files of blocks, one file for each task, and give the table
+    of the files that Spark committed: part, file and number of blocks."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.large_string())])
 
-    def gather(batches):
-        part, block = TaskContext.get().partitionId(), 0
+    def write(batches):
+        part, out, n = TaskContext.get().partitionId(), None, 0
+        files, root = fs.FileSystem.from_uri(folder)
+        files.create_dir(root, recursive=True)
+        name = f"{root}/{part:08d}-{uuid.uuid4().hex}.arrow"
         for piece in slices(batches, "text", BLOCK_BYTES):
-            ids, texts = one_array(piece.column("doc_id")), one_array(piece.column("text"))
-            at = pa.array([0, len(ids)], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.ListArray.from_arrays(at, ids), pa.ListArray.from_arrays(at, texts)],
-                schema=schema,
-            )
-            block += 1
-
-    return docs.mapInArrow(gather, "part int, block int, ids array<long>, texts array<string>")
-
-
-def _each(batches):
-    """Blocks of record batches: part, block, ids, which of them are null, bytes and offsets."""
+            if out is None:
+                sink = files.open_output_stream(name)
+                out = pa.ipc.new_file(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+            columns = [one_array(piece.column(c)).cast(t) for c, t in (("doc_id", pa.int64()), ("text", pa.large_string()))]
+            out.write_batch(pa.RecordBatch.from_arrays(columns, schema=schema))
+            n += 1
+        if out is not None:
+            out.close()
+            sink.close()
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([n], pa.int64())], names=["part", "file", "n"])
+
+    docs.mapInArrow(write, "part int, file string, n long").write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def _each(batches, home: str):
+    """Blocks of the files in record batches: part, block, ids, which of them are known, bytes and
+    offsets."""
+    files, _ = fs.FileSystem.from_uri(home)
     for batch in batches:
-        for i in range(batch.num_rows):
-            ids = batch.column("ids")[i].values
-            data, at = utf8(batch.column("texts")[i].values)
-            known = np.asarray(ids.is_valid())
-            yield batch.column("part")[i].as_py(), batch.column("block")[i].as_py(), ids.fill_null(0).to_numpy(), known, data, at
+        for part, name in zip(batch.column("part").to_pylist(), batch.column("file").to_pylist()):
+            with files.open_input_file(name) as file:
+                reader = pa.ipc.open_file(file)
+                for block in range(reader.num_record_batches):
+                    held = reader.get_batch(block)
+                    ids = held.column("doc_id")
+                    data, at = utf8(held.column("text"))
+                    yield part, block, ids.fill_null(0).to_numpy(), np.asarray(ids.is_valid()), data, at
+                    del held, ids, data, at
+                    pa.default_memory_pool().release_unused()
 
 
 class Answers:
@@ -320,13 +336,16 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     size = docs.select(F.sum(F.octet_length(text_column(text)))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hash_buckets = max(parts, size // (8 << 20))
-    source = kept.keep(blocks(docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_column(text).alias("text"))), "blocks")
-    n_blocks = source.count()
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_column(text).alias("text"))
+    blocks_at = re.sub("^file:/+", "/", kept.path("blocks"))  # a plain path is one for pyarrow, too
+    written = write_blocks(rows, blocks_at, kept.path("files"))
+    n_files, n_blocks = written.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    source = written.select("part", "file").repartition(max(n_files, 1))  # a task for each file
     every = max(n_blocks // SAMPLED_BLOCKS, 1)
     rate = max(size // every // 14 // SAMPLES, 1)
 
     def hashed(batches):
-        for part, block, ids, known, data, at in _each(batches):
+        for part, block, ids, known, data, at in _each(batches, blocks_at):
             hashes, _, _, _, text_no = records(data, at, known)
             order = np.lexsort((ids[text_no], hashes))
             h, d = hashes[order] | np.uint64(1), ids[text_no][order]
@@ -379,20 +398,21 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     def sampled(batches):
         answers = Answers(wanted_at)
-        for part, block, ids, known, data, at in _each(batches):
+        for part, block, ids, known, data, at in _each(batches, blocks_at):
+            if int(mixed(np.array([part << 32 | block]))[0]) % every:  # for splitters only
+                continue
             (rows, count, lead, _, _), _ = wanted_of(answers, part, block, ids, known, data, at)
             pick = np.flatnonzero(_digest(rows, 6) % np.uint64(rate) == 0)
             anchors = [rows[i, lead[i] : lead[i] + GRAM].tobytes() for i in pick.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(anchors, pa.binary())], names=["anchor"])
 
-    some = source.where(F.pmod(F.xxhash64("part", "block"), F.lit(every)) == 0)  # for splitters only
-    anchors = sorted(bytes(r[0]) for r in some.mapInArrow(sampled, "anchor binary").limit(4 * SAMPLES).collect())
+    anchors = sorted(bytes(r[0]) for r in source.mapInArrow(sampled, "anchor binary").limit(4 * SAMPLES).collect())
     buckets = max(parts, len(anchors) * rate * every // BUCKET_RECORDS)
     splitters = np.array(sorted({anchors[i * len(anchors) // buckets] for i in range(1, buckets)} if anchors else set()), dtype=f"S{GRAM}")
 
     def sent(batches):
         answers = Answers(wanted_at)
-        for part, block, ids, known, data, at in _each(batches):
+        for part, block, ids, known, data, at in _each(batches, blocks_at):
             (rows, count, lead, least, largest), _ = wanted_of(answers, part, block, ids, known, data, at)
             if not len(rows):
                 continue
@@ -443,7 +463,7 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     def cut(batches):
         wanted, answers = Answers(wanted_at), Answers(runs_at)
-        for part, block, ids, known, data, at in _each(batches):
+        for part, block, ids, known, data, at in _each(batches, blocks_at):
             gone = np.zeros(len(data) + 1, np.int32)
             found = answers.of(part, block)
             if found:
