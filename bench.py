@@ -12,6 +12,7 @@ one join per step, union of branches, window per key, one EXCEPT per direction o
 import json
 import os
 import time
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import SparkSession, Window, functions as F
@@ -31,6 +32,7 @@ from callweave.plans import (
     call_legs,
     call_rules,
     cross_reference,
+    day_facts,
     ivr_prep,
     match_calls,
     org_directory,
@@ -159,12 +161,13 @@ def main():
     calls = stages.keep(views.ivr_calls(spark, SF), "calls")
     tickets = stages.keep(ticket_prep(raw), "tickets")
     ivr = stages.keep(ivr_prep(blocks, calls), "ivr")
-    matched = stages.keep(match_calls(tickets, ivr), "matched")
+    matched = stages.keep(match_calls(tickets, ivr, "UTC"), "matched")
     legs = stages.keep(call_rules(matched), "rules")
     reference = views.reference(spark, SF)
     lines = stages.keep(reference.organisation_lines, "lines")
     users = stages.keep(reference.users, "users")
     organisation = stages.keep(org_directory(lines, reference.organisation_layout, views.AS_OF), "org")
+    daily_reference = replace(reference, organisation_lines=lines, users=users)
     plan, codes = views.plan(spark), views.dial_codes(spark)
     tariffs = stages.keep(tariff_classify(legs, plan, codes), "tariffs")
     items = table("lineitem").select(
@@ -191,11 +194,12 @@ def main():
         "ticket_prep": lambda: ticket_prep(raw),
         "ivr_prep": lambda: ivr_prep(blocks, calls),
         "tolerance_pairs": lambda: tolerance_join(number_time, call_time, *times),
-        "match_calls": lambda: match_calls(tickets, ivr),
+        "match_calls": lambda: match_calls(tickets, ivr, "UTC"),
         "call_legs": lambda: call_legs(matched),
-        "call_rules": lambda: call_rules(matched),
+        "call_rules": lambda: call_rules(matched, keep=Stages(spark).keep),
         "tariff_classify": lambda: tariff_classify(legs, plan, codes),
         "org_directory": lambda: org_directory(lines, reference.organisation_layout, views.AS_OF),
+        "daily_run": lambda: day_facts(raw, blocks, calls, daily_reference, views.AS_OF, Stages(spark), "UTC"),
         "stats_export": lambda: stats_export(
             cross_reference(tariffs, user_directory(users, organisation), organisation)
         ),

@@ -207,3 +207,34 @@ EXPORT_COLUMNS = [  # (column of the fact table, name in the export)
     ("quarter", "Quarter_of_hour"),
     ("Lib_hour", "Lib_hour"),
 ]
+
+# Columns of the matched calls and of their legs.
+TICKET_COLUMNS = [
+    "InitialStartDateTime", "StartDateTime", "TicketId", "CalledNumber", "InternFacilities",
+    "CallType", "ChargedNumber", "EffectiveCallDuration", "CostCenter", "CallingNumber",
+    "WaitingDuration",
+]
+MATCH_COLUMNS = ["started_datetime", "temp_caller", "endcause", "date_diff"]
+DETAIL_COLUMNS = [
+    "id", "bloc duration", "bloc name", "Motif appel", "bloc id", "caller", "called",
+    "tenantname", "treename", "start", "duration", "transferredto", "SAGES (bloc)",
+]
+MATCH_RENAMES = {
+    "SAGES (bloc)": "SAGES",
+    "bloc name": "bloc_name",
+    "bloc duration": "bloc_duration",
+    "bloc id": "bloc_id",
+    "Motif appel": "Motif_appel",
+}
+USED_FLAGS = [
+    "CallForwardingUnconditional", "CallForwardingOnBusy", "CallForwardingOnNoReply",
+    "VoiceMail", "Transfer",
+]
+LEG_COLUMNS = [
+    "InitialStartDateTime", "TicketId", "CalledNumber", "CallingNumber", "CallType",
+    "WaitingDuration", "EffectiveCallDuration", "StartDateTime", "ChargedNumber", "id",
+    "duration", "endcause", "transferredto", "bloc_name", "bloc_duration", "Motif_appel",
+    "SAGES", "CallForwardingUnconditional", "CallForwardingOnBusy",
+    "CallForwardingOnNoReply", "VoiceMail", "Appel_transfere", "Type_appel",
+    "calledNumber_externe_interne",
+]

@@ -23,18 +23,25 @@ def trim_all(df: DataFrame) -> DataFrame:
     )
 
 
+MAX_FIELDS = 10_000
+
+
 def read_layout(layout: DataFrame) -> list[tuple[str, int, int]]:
     """Layout rows ``nom, de, long`` as (name, 1-based start, length), in start order.
 
     The layout describes columns, so it has as many rows as the result has columns
-    and belongs on the driver. Rows with a missing or unreadable value are left out.
+    and belongs on the driver; one of more than ``MAX_FIELDS`` rows is refused. Rows with a
+    missing or unreadable value are left out.
     """
     fields = layout.select(
         F.trim("nom").alias("nom"),
         F.trim(F.col("de").cast("string")).try_cast("int").alias("de"),
         F.trim(F.col("long").cast("string")).try_cast("int").alias("long"),
     ).dropna()
-    return [(r["nom"], max(r["de"], 1), r["long"]) for r in fields.orderBy("de", "nom").collect()]
+    found = fields.orderBy("de", "nom").limit(MAX_FIELDS + 1).collect()
+    if len(found) > MAX_FIELDS:
+        raise ValueError(f"a layout of more than {MAX_FIELDS} fields")
+    return [(r["nom"], max(r["de"], 1), r["long"]) for r in found]
 
 
 def fixed_width(

@@ -5,6 +5,7 @@ from callweave.operators.compare import (
     diff_summary,
     fingerprint,
     normalize_for_diff,
+    schema_differences,
 )
 from callweave.operators.contract import missing_columns, require_columns, require_schema
 from callweave.operators.groups import (
@@ -18,7 +19,6 @@ from callweave.operators.groups import (
 from callweave.operators.joins import (
     anti_join,
     attach_by_key,
-    checked_broadcast,
     dial_code_lookup,
     enrich,
     null_safe_join,
@@ -29,10 +29,10 @@ from callweave.operators.joins import (
 from callweave.operators.rows import explode_roles, repeat_rows, top_order, union_aligned
 
 __all__ = [
-    "anti_join", "attach_by_key", "changed_rows", "checked_broadcast", "columns_only_left",
+    "anti_join", "attach_by_key", "changed_rows", "columns_only_left",
     "dedup_on", "dial_code_lookup", "diff_by_column", "diff_summary", "enrich",
     "explode_roles", "fingerprint", "group_total", "joined_labels", "latest_per_key",
     "latest_version", "mark_first", "missing_columns", "normalize_for_diff",
     "null_safe_join", "prefix_lookup", "repeat_rows", "require_columns", "require_parents",
-    "require_schema", "tolerance_join", "top_order", "union_aligned",
+    "require_schema", "schema_differences", "tolerance_join", "top_order", "union_aligned",
 ]

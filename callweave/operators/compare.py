@@ -3,6 +3,10 @@
 All comparisons are set comparisons (duplicates do not count, null equals null). Both
 sides are stacked and grouped by their values, so one shuffle answers both directions
 and copies of a row collapse before it.
+
+Columns are matched by name, or by place if the sides have as many columns under other
+names (``schema_differences`` lists them). Different types are an error: nothing is cast to
+make values look alike; ``normalize_for_diff`` is there for that.
 """
 
 from __future__ import annotations
@@ -20,6 +24,17 @@ class ColumnCountError(ValueError):
     """The two data sets do not have the same number of columns."""
 
 
+class ColumnTypeError(ValueError):
+    """Columns of the two data sets that stand for the same thing have different types."""
+
+
+def schema_differences(left: DataFrame, right: DataFrame) -> list[tuple[str, str | None, str | None]]:
+    """Names that only one side has and names whose types differ, as (name, left type, right
+    type), with None for a side without the name."""
+    a, b = dict(left.dtypes), dict(right.dtypes)
+    return [(n, a.get(n), b.get(n)) for n in dict.fromkeys([*a, *b]) if a.get(n) != b.get(n)]
+
+
 def columns_only_left(left: DataFrame, right: DataFrame) -> list[str]:
     return [c for c in left.columns if c not in set(right.columns)]
 
@@ -32,6 +47,11 @@ def _counted(left: DataFrame, right: DataFrame, drop: Sequence[str]) -> DataFram
             f"only left: {columns_only_left(left, right)}, "
             f"only right: {columns_only_left(right, left)}"
         )
+    if set(left.columns) != set(right.columns):  # other names: columns are compared by place
+        right = right.toDF(*left.columns)
+    types = [d for d in schema_differences(left, right) if d[0] not in set(drop)]
+    if types:
+        raise ColumnTypeError("; ".join(f"{n}: {a} against {b}" for n, a, b in types))
     names = [c for c in left.columns if c not in set(drop)]
     quoted = [f"`{c}`" for c in names]
     both = left.select(*quoted, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
@@ -125,13 +145,16 @@ def normalize_for_diff(
 def fingerprint(df: DataFrame, method: str = "xxhash64") -> DataFrame:
     """Order-insensitive fingerprint of a table: number of rows, sum and exclusive-or of
     the row hashes. ``method="md5"`` hashes the values as text, which other engines can
-    repeat; ``"xxhash64"`` is faster."""
+    repeat; ``"xxhash64"`` is faster. Both tell a null from any text and see a value move from
+    one column to the next: the first writes the length of each text before it, the second
+    hashes which values are null, too."""
     names = [f"`{c}`" for c in df.columns]
     if method == "xxhash64":
-        row_hash = F.xxhash64(*names)
+        row_hash = F.xxhash64(*[F.isnull(n) for n in names], *names)
     else:
-        values = [F.coalesce(F.col(n).cast("string"), F.lit("\\N")) for n in names]
-        digest = F.md5(F.concat_ws("\x1f", *values).cast("binary"))
+        texts = [F.col(n).cast("string") for n in names]
+        values = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts]
+        digest = F.md5(F.concat_ws(",", *values).cast("binary"))
         row_hash = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
     hashed = df.select(row_hash.alias("_hash"))
     return hashed.agg(

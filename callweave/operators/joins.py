@@ -5,8 +5,9 @@ execution, which splits an oversized partition at run time. Where that cannot wo
 (a lookup aggregated on the very join keys is not shuffled again, so Spark has nothing
 to split), ``attach_by_key`` deals with the heaviest keys itself.
 
-Broadcast. A side is broadcast by hint only when its row count was checked or is bounded
-by construction (``limit``); everything else is left to Spark's own size threshold.
+Broadcast. A side is broadcast by hint only when it is bounded by construction (``limit``);
+everything else, reference tables included, is left to Spark's own size threshold, which
+adaptive execution checks against the bytes that a side turns out to have.
 """
 
 from __future__ import annotations
@@ -17,18 +18,9 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_ROWS = 50_000
 HEAVY_KEYS = 256
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if the side has at most ``max_rows`` rows, else return it as it
-    is, for a shuffled join. Counts at most ``max_rows + 1`` rows; meant for reference
-    tables, whose lineage is a small scan."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def tolerance_join(
     left: DataFrame,
     right: DataFrame,
@@ -139,7 +131,7 @@ def prefix_lookup(
     prefixes = prefixes.groupBy("_prefix", "_length").agg(F.count("*").cast("int").alias("_listed"))
     length = F.lit(prefix_length) if isinstance(prefix_length, int) else prefix_length
     found = df.join(
-        checked_broadcast(prefixes),
+        prefixes,
         (F.substring(F.col(number), F.lit(1), length) == F.col("_prefix"))
         & (F.length(number) == F.col("_length")),
         "left",
@@ -175,7 +167,7 @@ def dial_code_lookup(
     bare = F.regexp_replace(F.col(number), "^00", "")
     prefixes = F.explode(F.array(*[F.substring(bare, 1, n) for n in lengths]))
     hits = df.select("*", prefixes.alias("Indicatif_numero")).join(
-        checked_broadcast(labelled), F.col("Indicatif_numero") == F.col("_covered"), "inner"
+        labelled, F.col("Indicatif_numero") == F.col("_covered"), "inner"
     )
     if duplicates:
         copies = F.explode(F.sequence(F.lit(1), F.col("_listed")))

@@ -1,5 +1,5 @@
 from callweave.plans.cross_reference import cross_reference, office_export, stats_export
-from callweave.plans.daily import DayPaths, Reference, day_facts, run_day
+from callweave.plans.daily import DayPaths, Reference, day_facts, rerun_cross_reference, run_day
 from callweave.plans.ivr import ivr_prep
 from callweave.plans.matching import match_calls
 from callweave.plans.organisation import org_directory, user_directory
@@ -11,5 +11,5 @@ from callweave.plans.tickets import ticket_prep
 __all__ = [
     "DayPaths", "Reference", "call_legs", "call_rules", "cross_reference", "day_facts",
     "ivr_prep", "match_calls", "office_export", "org_directory", "regression_check",
-    "run_day", "stats_export", "tariff_classify", "ticket_prep", "user_directory",
+    "rerun_cross_reference", "run_day", "stats_export", "tariff_classify", "ticket_prep", "user_directory",
 ]

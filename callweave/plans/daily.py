@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -60,13 +61,15 @@ def day_facts(
     reference: Reference,
     as_of: datetime.date,
     stages: Stages,
-    zone: str = "UTC",
+    zone: str,
     rules: str = "v2",
     details: str = "exact",
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Facts of the given tickets. A stage is stored where later ones read it more than
     once: the prepared tickets (CSV would be parsed again), the prepared calls, the matched
-    tickets, the legs, the rules and the organisation."""
+    tickets, the legs, the rules and the organisation. ``store(df, name)`` may keep the classified
+    calls (``tariffs``) and the directory (``users``) for good and return them read back."""
     prepared = stages.keep(ticket_prep(tickets, rules), "tickets")
     ivr = stages.keep(ivr_prep(ivr_blocks, ivr_calls), "ivr")
     matched = match_calls(prepared, ivr, zone, details=details)
@@ -78,7 +81,41 @@ def day_facts(
         org_directory(reference.organisation_lines, reference.organisation_layout, as_of),
         "organisation",
     )
-    return cross_reference(tariffs, user_directory(reference.users, organisation), organisation)
+    users = user_directory(reference.users, organisation)
+    if store is not None:
+        tariffs, users = store(tariffs, "tariffs"), store(users, "users")
+    return cross_reference(tariffs, users, organisation)
+
+
+def read_day(spark: SparkSession, path: str, day: datetime.date) -> DataFrame:
+    """One stored day, without the column of the day."""
+    return spark.read.orc(f"{path}/jour={day.isoformat()}")
+
+
+def _publish(spark: SparkSession, facts: DataFrame, day: datetime.date, result: str) -> DataFrame:
+    """Replace the day's facts and both exports; the stored facts."""
+    label = day.isoformat()
+    write_day(facts, f"{result}/facts", label)
+    schema = StructType([*facts.schema.fields, StructField("jour", StringType())])
+    stored = spark.read.schema(schema).orc(f"{result}/facts").where(F.col("jour") == label)
+    compact = label.replace("-", "")
+    export_sorted_csv(stats_export(stored), f"{result}/stats/{compact}")
+    export_sorted_csv(office_export(stored), f"{result}/offices/{compact}")
+    return stored
+
+
+def rerun_cross_reference(
+    spark: SparkSession, result: str, day: datetime.date, organisation: DataFrame, users: DataFrame | None = None
+) -> DataFrame:
+    """The facts of a day once more, with a corrected directory, from the calls that ``run_day``
+    stored. ``users`` is a new telephone directory; without it the stored one is taken."""
+    if users is None:
+        known = read_day(spark, f"{result}/users", day)
+    else:
+        known = user_directory(users, organisation)
+        write_day(known, f"{result}/users", day.isoformat())
+    tariffs = read_day(spark, f"{result}/tariffs", day)
+    return _publish(spark, cross_reference(tariffs, known, organisation), day, result)
 
 
 def run_day(
@@ -86,13 +123,14 @@ def run_day(
     paths: DayPaths,
     day: datetime.date,
     result: str,
-    zone: str = "UTC",
+    zone: str,
     rules: str = "v2",
     stages: Stages | None = None,
 ) -> DataFrame:
-    """Read the files of a day, replace its partition in ``<result>/facts`` (ORC by
-    ``jour``), write both exports as CSV, and return the stored facts of the day. The stage
-    tables are removed at the end, unless the caller gave the place for them."""
+    """Read the files of a day, replace its partition in ``<result>/tariffs``, ``users`` and
+    ``facts`` (ORC by ``jour``), write both exports as CSV, and return the stored facts of the
+    day. ``zone`` is that of the tickets' wall clock. The stage tables are removed at the end, also
+    if the run fails, unless the caller gave the place for them."""
     reference = Reference(
         users=read_csv(spark, paths.users),
         organisation_lines=read_lines(spark, paths.organisation),
@@ -100,20 +138,20 @@ def run_day(
         numbering_plan=read_csv(spark, paths.numbering_plan),
         dial_codes=read_csv(spark, paths.dial_codes),
     )
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        write_day(df, f"{result}/{name}", day.isoformat())
+        return spark.read.schema(df.schema).orc(f"{result}/{name}/jour={day.isoformat()}")
+
     kept = stages or Stages(spark)
-    facts = day_facts(
-        read_tickets(spark, paths.tickets),
-        read_ivr_blocks(spark, paths.ivr_blocks),
-        read_ivr_calls(spark, paths.ivr_calls),
-        reference, day, kept, zone, rules,
-    )
-    label = day.isoformat()
-    write_day(facts, f"{result}/facts", label)
-    schema = StructType([*facts.schema.fields, StructField("jour", StringType())])
-    stored = spark.read.schema(schema).orc(f"{result}/facts").where(F.col("jour") == label)
-    compact = label.replace("-", "")
-    export_sorted_csv(stats_export(stored), f"{result}/stats/{compact}")
-    export_sorted_csv(office_export(stored), f"{result}/offices/{compact}")
-    if stages is None:
-        kept.remove()
-    return stored
+    try:
+        facts = day_facts(
+            read_tickets(spark, paths.tickets),
+            read_ivr_blocks(spark, paths.ivr_blocks),
+            read_ivr_calls(spark, paths.ivr_calls),
+            reference, day, kept, zone, rules, store=store,
+        )
+        return _publish(spark, facts, day, result)
+    finally:
+        if stages is None:
+            kept.remove()

@@ -4,20 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from callweave import fixed_values as fv
 from callweave.functions import wall_seconds
 from callweave.operators import tolerance_join
 
 TOLERANCE_SECONDS = 4
-TICKET_COLUMNS = [
-    "InitialStartDateTime", "StartDateTime", "TicketId", "CalledNumber", "InternFacilities",
-    "CallType", "ChargedNumber", "EffectiveCallDuration", "CostCenter", "CallingNumber",
-    "WaitingDuration",
-]
-MATCH_COLUMNS = ["started_datetime", "temp_caller", "endcause", "date_diff"]
-DETAIL_COLUMNS = [
-    "id", "bloc duration", "bloc name", "Motif appel", "bloc id", "caller", "called",
-    "tenantname", "treename", "start", "duration", "transferredto", "SAGES (bloc)",
-]
 
 
 def _same(left: str, right: str):
@@ -27,7 +18,7 @@ def _same(left: str, right: str):
 def match_calls(
     tickets: DataFrame,
     ivr: DataFrame,
-    zone: str = "UTC",
+    zone: str,
     tolerance: int = TOLERANCE_SECONDS,
     details: str = "exact",
 ) -> DataFrame:
@@ -52,9 +43,9 @@ def match_calls(
         F.col("CalledNumber").alias("_number"),
         wall_seconds(F.col("InitialStartDateTime"), zone).alias("_ticket_second"),
     )
-    carried = [F.struct(*[F.col(f"`{c}`") for c in DETAIL_COLUMNS]).alias("_details")]
+    carried = [F.struct(*[F.col(f"`{c}`") for c in fv.DETAIL_COLUMNS]).alias("_details")]
     calls = ivr.select(
-        *MATCH_COLUMNS[:3],
+        *fv.MATCH_COLUMNS[:3],
         F.floor("start").alias("_call_second"),
         *(carried if details == "carried" else []),
     )
@@ -62,21 +53,21 @@ def match_calls(
         narrow.where(F.col("_number").isNotNull()), calls,
         "_number", "temp_caller", "_ticket_second", "_call_second", tolerance,
     ).drop("_number", "_ticket_second", "_call_second")
-    wide = tickets.select(*TICKET_COLUMNS)
+    wide = tickets.select(*fv.TICKET_COLUMNS)
 
     if details == "carried":
         own = F.col("CalledNumber") == F.col("temp_caller")
         return wide.join(matches, "TicketId", "left").select(
-            *TICKET_COLUMNS,
-            *MATCH_COLUMNS,
-            *[F.when(own, F.col("_details")[c]).alias(c) for c in DETAIL_COLUMNS],
+            *fv.TICKET_COLUMNS,
+            *fv.MATCH_COLUMNS,
+            *[F.when(own, F.col("_details")[c]).alias(c) for c in fv.DETAIL_COLUMNS],
         )
 
     numbers = narrow.select("TicketId", "_number").distinct()
     same_start = ivr.select(
         F.col("temp_caller").alias("_detail_caller"),
         F.col("started_datetime").alias("_detail_start"),
-        *[f"`{c}`" for c in DETAIL_COLUMNS],
+        *[f"`{c}`" for c in fv.DETAIL_COLUMNS],
     )
     same_call = (F.col("_number") == F.col("_detail_caller")) & (
         F.col("started_datetime") == F.col("_detail_start")
@@ -89,5 +80,5 @@ def match_calls(
     # A null TicketId matches nothing; a null number is a number like any other here.
     same_ticket = (F.col("TicketId") == F.col("_ticket")) & _same("CalledNumber", "_number")
     return wide.join(found, same_ticket, "left").select(
-        *TICKET_COLUMNS, *MATCH_COLUMNS, *[f"`{c}`" for c in DETAIL_COLUMNS]
+        *fv.TICKET_COLUMNS, *fv.MATCH_COLUMNS, *[f"`{c}`" for c in fv.DETAIL_COLUMNS]
     )

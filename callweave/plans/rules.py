@@ -13,31 +13,12 @@ from callweave import fixed_values as fv
 from callweave.functions import decode_flags, is_true
 from callweave.operators import explode_roles, group_total, mark_first
 
-MATCH_RENAMES = {
-    "SAGES (bloc)": "SAGES",
-    "bloc name": "bloc_name",
-    "bloc duration": "bloc_duration",
-    "bloc id": "bloc_id",
-    "Motif appel": "Motif_appel",
-}
-USED_FLAGS = [
-    "CallForwardingUnconditional", "CallForwardingOnBusy", "CallForwardingOnNoReply",
-    "VoiceMail", "Transfer",
-]
-LEG_COLUMNS = [
-    "InitialStartDateTime", "TicketId", "CalledNumber", "CallingNumber", "CallType",
-    "WaitingDuration", "EffectiveCallDuration", "StartDateTime", "ChargedNumber", "id",
-    "duration", "endcause", "transferredto", "bloc_name", "bloc_duration", "Motif_appel",
-    "SAGES", "CallForwardingUnconditional", "CallForwardingOnBusy",
-    "CallForwardingOnNoReply", "VoiceMail", "Appel_transfere", "Type_appel",
-    "calledNumber_externe_interne",
-]
 CONNECTION_SECONDS = 60
 
 
 def _typed(matched: DataFrame) -> DataFrame:
     """Uniform names and explicit types, so that nothing is cast by comparison later."""
-    typed = matched.withColumnsRenamed(MATCH_RENAMES).withColumns(
+    typed = matched.withColumnsRenamed(fv.MATCH_RENAMES).withColumns(
         {
             "CallType": F.col("CallType").try_cast("int"),
             "EffectiveCallDuration": F.col("EffectiveCallDuration").try_cast("int"),
@@ -46,7 +27,7 @@ def _typed(matched: DataFrame) -> DataFrame:
             "bloc_duration": F.col("bloc_duration").try_cast("double"),
         }
     )
-    return decode_flags(typed, positions={f: fv.FACILITY_POSITIONS[f] for f in USED_FLAGS})
+    return decode_flags(typed, positions={f: fv.FACILITY_POSITIONS[f] for f in fv.USED_FLAGS})
 
 
 def call_legs(matched: DataFrame) -> DataFrame:
@@ -100,7 +81,7 @@ def call_legs(matched: DataFrame) -> DataFrame:
         (is_transferred, leg(fv.EMITTED, inside, charged, calling)),
         (is_transferred, leg(fv.RECEIVED, inside, calling, charged)),
     ]
-    return explode_roles(calls, roles).select(*LEG_COLUMNS)
+    return explode_roles(calls, roles).select(*fv.LEG_COLUMNS)
 
 
 def _with_counts(legs: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 from callweave.sources.readers import (
     read_csv,
+    read_csv_by_header,
     read_csv_columns,
     read_ivr_blocks,
     read_ivr_calls,
@@ -20,7 +21,7 @@ from callweave.sources.writers import (
 )
 
 __all__ = [
-    "Stages", "export_sorted_csv", "read_csv", "read_csv_columns", "read_ivr_blocks",
+    "Stages", "export_sorted_csv", "read_csv", "read_csv_by_header", "read_csv_columns", "read_ivr_blocks",
     "read_ivr_calls", "read_layout_file", "read_lines", "read_table", "read_tickets",
     "shared_folder", "synthetic_tickets", "write_csv", "write_day", "write_days", "write_orc",
     "write_orc_table",

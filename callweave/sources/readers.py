@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -19,18 +21,40 @@ def read_csv(
     escape: str = "\\",
 ) -> DataFrame:
     """CSV with a given schema, or with the names of its header and all text. Types are
-    never inferred, so the files are read once."""
+    never inferred, so the files are read once. A file whose header has other names or
+    another order fails the query with its name; ``read_csv_by_header`` takes such files."""
     reader = spark.read.options(header=header, sep=sep, quote=quote, escape=escape)
+    if header:
+        reader = reader.option("enforceSchema", False)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+def read_csv_by_header(
+    spark: SparkSession, path: str | list[str], schema: StructType | str, sep: str = ","
+) -> DataFrame:
+    """Declared columns of CSV files that need not have them in the same order.
+
+    Each file's own header says where its columns are: the first line of each file is read
+    beforehand (one short job for each file), and files with equal headers are one scan.
+    """
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        by_header.setdefault(tuple(read_csv(spark, file, sep=sep).columns), []).append(file)
+    if not by_header:
+        return spark.createDataFrame([], declared)
+    parts = [read_csv_columns(spark, files, declared, sep) for files in by_header.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_csv_columns(
     spark: SparkSession, path: str | list[str], schema: StructType | str, sep: str = ","
 ) -> DataFrame:
     """CSV of many columns, of which only the declared ones are kept, in declared order
-    and type. Columns are found by header name; only those are parsed."""
+    and type. Columns are found by header name, which must be the same in all files; only
+    those are parsed."""
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     wide = require_columns(read_csv(spark, path, sep=sep), declared.names, str(path))
     return wide.select(

@@ -6,23 +6,21 @@ a plain Parquet folder, so it outlives lost executors, and later reads still pru
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``, or else by ``setCheckpointDir``. Only a local
-    session may go without: it gets a temporary folder, since its executors are this
-    machine."""
+    """Folder named by ``spark.checkpoint.dir``, or else by ``setCheckpointDir``, or else one below
+    the warehouse, which all executors share as well. Off a local session, a warehouse that was
+    left at its default on the driver's disk is refused."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
+        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/callweave-stages"
+        if named.startswith("file:") and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="callweave-"))
-        named = context.getCheckpointDir()
     return named.rstrip("/")
 
 

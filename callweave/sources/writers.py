@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame
 
 from callweave.operators.rows import top_order
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_orc_table(df: DataFrame, table: str) -> None:
     """Managed ORC table, replaced as a whole."""
@@ -40,14 +38,15 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
 
 
 def export_sorted_csv(
-    df: DataFrame, path: str, sep: str = ";", single_file_rows: int = SINGLE_FILE_ROWS
+    df: DataFrame, path: str, sep: str = ";", single_file: bool = False
 ) -> None:
     """Distinct rows in total order as CSV with header.
 
     The sort is range-partitioned, so the part files in name order are the sorted result.
-    Only a result of at most ``single_file_rows`` rows (counted first) is written as one
-    file; a larger one keeps its part files.
+    ``single_file`` sorts in one task and writes one file: for results that a spreadsheet can take.
     """
-    few = df.distinct().limit(single_file_rows + 1).count() <= single_file_rows
-    ordered = top_order(df)
-    write_csv(ordered.coalesce(1) if few else ordered, path, sep)
+    if single_file:
+        columns = [f"`{c}`" for c in df.columns]
+        write_csv(df.distinct().repartition(1).sortWithinPartitions(*columns), path, sep)
+    else:
+        write_csv(top_order(df), path, sep)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from callweave import fixed_values as fv
 from callweave.functions import (
@@ -47,10 +47,14 @@ from callweave.sources import (
     Stages,
     export_sorted_csv,
     read_csv,
+    read_csv_by_header,
     read_csv_columns,
     read_lines,
+    read_table,
     write_csv,
     write_days,
+    write_orc,
+    write_orc_table,
 )
 from checks import views
 from checks.views import BASE_SQL, IVR_SQL, PLAN_SQL, TICKETS_SQL, USERS_SQL, table, with_views
@@ -609,15 +613,27 @@ def regression_of_files(spark, sf):
 
 @query("""
 SELECT count(*) AS n_rows, CAST(sum(h) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM (
-  SELECT CAST('0x' || substr(md5(doc_id || chr(31) || text || chr(31) || coalesce(lang, '\\N') || chr(31)
-    || coalesce(source, '\\N') || chr(31) || n_chars), 1, 15) AS BIGINT) AS h FROM documents)""")
+  SELECT CAST('0x' || substr(md5(concat_ws(',', coalesce(length(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'),
+    coalesce(length(CAST(text AS VARCHAR)) || ':' || text, '-'),
+    coalesce(length(CAST(lang AS VARCHAR)) || ':' || lang, '-'),
+    coalesce(length(CAST(source AS VARCHAR)) || ':' || source, '-'),
+    coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-'))), 1, 15) AS BIGINT) AS h FROM documents)""")
 def table_fingerprint(spark, sf):
     return fingerprint(table(spark, sf, "documents"), "md5")
 
 
-@query(None)
+@query("SELECT count(*) AS n_rows, true AS same_if_dealt_anew, true AS other_if_changed FROM lineitem")
 def table_fingerprint_xxhash(spark, sf):
-    return fingerprint(table(spark, sf, "lineitem"))
+    """The hash itself is Spark's own; its promises can be checked anywhere."""
+    items = table(spark, sf, "lineitem")
+    changed = items.withColumn("l_comment" if "l_comment" in items.columns else items.columns[-1], F.lit(None))
+    prints = [
+        fingerprint(df).select(F.struct("hash_sum", "hash_xor").alias(name), F.col("n_rows").alias(f"n_{name}"))
+        for name, df in (("a", items), ("b", items.repartition(7)), ("c", changed))
+    ]
+    return prints[0].join(prints[1], F.col("n_a") == F.col("n_b")).join(prints[2], F.col("n_a") == F.col("n_c")).select(
+        F.col("n_a").alias("n_rows"), (F.col("a") == F.col("b")).alias("same_if_dealt_anew"), (F.col("a") != F.col("c")).alias("other_if_changed")
+    )
 
 
 # --- sources and sinks ------------------------------------------------------------------
@@ -671,3 +687,52 @@ def sorted_csv_export(spark, sf):
     )
     export_sorted_csv(rows, path)
     return read_csv(spark, path, sep=";")
+
+
+@query("SELECT p_partkey, p_name, p_size FROM part")
+def scan_csv_mixed_headers(spark, sf):
+    """Files of one kind whose headers have the same names in another order."""
+    path = Stages(spark).path("parts")
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
+    write_csv(parts.where("p_partkey % 2 = 0"), f"{path}/even")
+    write_csv(parts.where("p_partkey % 2 = 1").select("p_size", "p_partkey", "p_name"), f"{path}/odd")
+    return read_csv_by_header(spark, [f"{path}/even", f"{path}/odd"], "p_partkey bigint, p_name string, p_size int")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def scan_csv_ddl(spark, sf):
+    path = Stages(spark).path("customers")
+    write_csv(table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"), path)
+    return read_csv(spark, path, "c_custkey bigint, c_name string, c_acctbal double")
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey >= 5")
+def scan_orc_table(spark, sf):
+    """A managed ORC table, replaced as a whole, read by its name."""
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    write_orc_table(nations, "callweave_nations")
+    write_orc_table(nations.where("n_nationkey >= 5"), "callweave_nations")
+    return read_table(spark, "callweave_nations")
+
+
+@query("SELECT s_suppkey, s_name FROM supplier")
+def orc_folder(spark, sf):
+    path = Stages(spark).path("suppliers")
+    write_orc(table(spark, sf, "supplier").select("s_suppkey", "s_name"), path)
+    return spark.read.orc(path)
+
+
+@query("""
+SELECT place, o_orderkey FROM (
+  SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS place FROM orders) WHERE place <= 100""")
+def latest_orders(spark, sf):
+    """Order by one column (and the key for ties); the report is the first hundred."""
+    first = table(spark, sf, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(100)
+    place = F.row_number().over(Window.orderBy(F.desc("o_orderdate"), "o_orderkey"))
+    return first.select(place.cast("long").alias("place"), "o_orderkey")
+
+
+@query("SELECT min(o_orderkey) AS first_key, count(*) = 0 AS is_empty FROM orders")
+def first_row_and_emptiness(spark, sf):
+    first = table(spark, sf, "orders").orderBy("o_orderkey").limit(1)
+    return first.agg(F.max("o_orderkey").alias("first_key"), (F.count("*") == 0).alias("is_empty"))

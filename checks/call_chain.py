@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callweave import fixed_values as fv
+from callweave.fixed_values import DETAIL_COLUMNS
 from callweave.plans import (
     call_rules,
     cross_reference,
@@ -13,13 +14,13 @@ from callweave.plans import (
     match_calls,
     office_export,
     org_directory,
+    rerun_cross_reference,
     stats_export,
     tariff_classify,
     ticket_prep,
     user_directory,
 )
-from callweave.plans.matching import DETAIL_COLUMNS
-from callweave.sources import Stages
+from callweave.sources import Stages, write_day
 from checks import views
 from checks.views import BASE_SQL, IVR_SQL, ORGANISATION_SQL, PLAN_SQL, TICKETS_SQL, USERS_SQL
 from checks.views import with_views
@@ -40,10 +41,11 @@ def _named(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(_plain(c)) for c in columns])
 
 
-def _matched(spark: SparkSession, sf: str, rules: str = "v2", details: str = "exact") -> DataFrame:
-    stages = Stages(spark)
+def _matched(
+    spark: SparkSession, sf: str, stages: Stages, rules: str = "v2", details: str = "exact"
+) -> DataFrame:
     prepared = stages.keep(ticket_prep(views.tickets(spark, sf), rules), "tickets")
-    return match_calls(prepared, stages.keep(_ivr(spark, sf), "ivr"), details=details)
+    return match_calls(prepared, stages.keep(_ivr(spark, sf), "ivr"), "UTC", details=details)
 
 
 def _ivr(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,7 +53,7 @@ def _ivr(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rules(spark: SparkSession, sf: str, stages: Stages, rules: str = "v2") -> DataFrame:
-    matched = stages.keep(_matched(spark, sf, rules), "matched")
+    matched = stages.keep(_matched(spark, sf, stages, rules), "matched")
     return stages.keep(call_rules(matched, rules, stages.keep), "rules")
 
 
@@ -76,11 +78,11 @@ def q_ivr_prep(spark, sf):
 
 
 def q_tolerance_left(spark, sf):
-    return _named(_matched(spark, sf), MATCH_OUTPUT)
+    return _named(_matched(spark, sf, Stages(spark)), MATCH_OUTPUT)
 
 
 def q_tolerance_left_carried(spark, sf):
-    return _named(_matched(spark, sf, details="carried"), MATCH_OUTPUT)
+    return _named(_matched(spark, sf, Stages(spark), details="carried"), MATCH_OUTPUT)
 
 
 def q_call_rules_v2(spark, sf):
@@ -91,9 +93,9 @@ def q_call_rules_v1(spark, sf):
     return _rules(spark, sf, Stages(spark), "v1")
 
 
-def _tariff(spark, sf, rules="v2", duplicates=False):
+def _tariff(spark, sf, rules="v2", duplicates=False, stages=None):
     return tariff_classify(
-        _rules(spark, sf, Stages(spark), rules), views.plan(spark), views.dial_codes(spark), rules,
+        _rules(spark, sf, stages or Stages(spark), rules), views.plan(spark), views.dial_codes(spark), rules,
         duplicates,
     )
 
@@ -123,9 +125,10 @@ def q_user_directory(spark, sf):
 
 
 def _facts(spark, sf):
-    organisation = Stages(spark).keep(_organisation(spark, sf), "organisation")
+    stages = Stages(spark)
+    organisation = stages.keep(_organisation(spark, sf), "organisation")
     return cross_reference(
-        _tariff(spark, sf), user_directory(views.users(spark, sf), organisation), organisation
+        _tariff(spark, sf, stages=stages), user_directory(views.users(spark, sf), organisation), organisation
     )
 
 
@@ -141,11 +144,23 @@ def q_office_export(spark, sf):
     return office_export(_facts(spark, sf))
 
 
+def q_rerun_cross_reference(spark, sf):
+    """The facts of a day from its stored calls and directory, with an organisation that was read
+    again; the day is run twice."""
+    stages = Stages(spark)
+    organisation = stages.keep(_organisation(spark, sf), "organisation")
+    result, label = stages.path("result"), views.AS_OF.isoformat()
+    write_day(_tariff(spark, sf, stages=stages), f"{result}/tariffs", label)
+    write_day(user_directory(views.users(spark, sf), organisation), f"{result}/users", label)
+    rerun_cross_reference(spark, result, views.AS_OF, organisation.limit(0))
+    return rerun_cross_reference(spark, result, views.AS_OF, organisation).drop("jour")
+
+
 def q_daily_run(spark, sf):
     """All stages over the derived day files, reported per day, office and outcome."""
     facts = day_facts(
         views.tickets(spark, sf), views.ivr_blocks(spark, sf), views.ivr_calls(spark, sf),
-        views.reference(spark, sf), views.AS_OF, Stages(spark),
+        views.reference(spark, sf), views.AS_OF, Stages(spark), "UTC",
     )
     return (
         stats_export(facts)
@@ -161,9 +176,12 @@ def q_daily_run(spark, sf):
 
 
 def q_calls_by_outcome(spark, sf):
-    """Received and emitted calls per day, origin and outcome."""
+    """Received and emitted calls per day, origin and outcome. The matched calls and the legs are
+    stored, since each is read more than once."""
+    stages = Stages(spark)
+    matched = stages.keep(_matched(spark, sf, stages), "matched")
     return (
-        call_rules(_matched(spark, sf))
+        call_rules(matched, keep=stages.keep)
         .groupBy(F.substring("InitialStartDateTime", 1, 10).alias("day"), "Origine", "Aboutissement_SVI")
         .agg(
             F.count("*").alias("n_legs"),
@@ -504,6 +522,7 @@ QUERIES = {
     "ticket_prep_v1": q_ticket_prep_v1,
     "ivr_prep": q_ivr_prep,
     "tolerance_left": q_tolerance_left,
+    "rerun_cross_reference": q_rerun_cross_reference,
     "tolerance_left_carried": q_tolerance_left_carried,
     "call_rules_v2": q_call_rules_v2,
     "call_rules_v1": q_call_rules_v1,
@@ -546,6 +565,7 @@ SQL = {
         select="SELECT * FROM c7",
     ),
     "cross_reference": with_views(*_to_facts, select="SELECT * FROM c8"),
+    "rerun_cross_reference": with_views(*_to_facts, select="SELECT * FROM c8"),
     "stats_export": with_views(*_to_facts, STATS, select="SELECT * FROM stats"),
     "office_export": with_views(*_to_facts, select='SELECT DISTINCT "SAGES" FROM c8'),
     "daily_run": with_views(

@@ -22,7 +22,7 @@ from callweave.plans import (
     ticket_prep,
     user_directory,
 )
-from callweave.plans.matching import DETAIL_COLUMNS, TICKET_COLUMNS
+from callweave.fixed_values import DETAIL_COLUMNS, TICKET_COLUMNS
 from callweave.sources import synthetic_tickets
 from conftest import rows
 
@@ -143,7 +143,7 @@ def test_match_calls_equals_the_rule_with_shared_ids_and_starts(spark, seed):
         blocks(spark, [(c, 1.0, "menu", "B", 1) for c, *_ in ivr]),
         calls(spark, [call(c, k, s, e) for c, k, s, e in ivr]),
     )
-    got = match_calls(ticket_prep(made), prepared_ivr)
+    got = match_calls(ticket_prep(made), prepared_ivr, "UTC")
     assert got.columns == TICKET_COLUMNS + ["started_datetime", "temp_caller", "endcause", "date_diff"] + DETAIL_COLUMNS
     found = sorted([tuple(r) for r in got.select("CostCenter", "endcause", "temp_caller", "id").collect()], key=str)
     assert found == reference_match(tickets, ivr)
@@ -156,7 +156,7 @@ def test_carried_details_are_the_same_without_shared_starts(spark):
         blocks(spark, [(f"c{i}", 1.0, "menu", "B", 1) for i in range(15)]),
         calls(spark, [call(f"c{i}", "15", base + i * 3 + 0.25) for i in range(15)]),
     )
-    exact, carried = (match_calls(ticket_prep(made), ivr, details=d) for d in ("exact", "carried"))
+    exact, carried = (match_calls(ticket_prep(made), ivr, "UTC", details=d) for d in ("exact", "carried"))
     assert exact.columns == carried.columns
     assert rows(exact) == rows(carried) and exact.count() > 60
 

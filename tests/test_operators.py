@@ -7,7 +7,6 @@ from callweave.operators import (
     anti_join,
     attach_by_key,
     changed_rows,
-    checked_broadcast,
     diff_by_column,
     diff_summary,
     explode_roles,
@@ -25,11 +24,12 @@ from callweave.operators import (
     require_columns,
     require_parents,
     require_schema,
+    schema_differences,
     tolerance_join,
     top_order,
     union_aligned,
 )
-from callweave.operators.compare import ColumnCountError
+from callweave.operators.compare import ColumnCountError, ColumnTypeError
 from callweave.operators.contract import ColumnContractError
 from conftest import rows
 
@@ -162,21 +162,15 @@ def test_prefix_lookup_distinct_and_per_listing(spark):
     assert listed.count() == 6
 
 
-def test_broadcast_is_hinted_only_within_the_bound(spark):
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString() or "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-    assert hinted(checked_broadcast(spark.range(10), 10))
-    assert not hinted(checked_broadcast(spark.range(11), 10))
-
-
-def test_lookup_is_the_same_without_broadcast(spark, monkeypatch):
-    from callweave.operators import joins
-
-    monkeypatch.setattr(joins, "checked_broadcast", lambda df, max_rows=0: df)
+def test_lookup_is_the_same_without_broadcast(spark):
     numbers = spark.createDataFrame([("3012",), ("3112",)], "n string")
     plan = spark.createDataFrame([("30", "4")], "Debut string, Longueur string")
-    assert rows(joins.prefix_lookup(numbers, "n", 2, plan, "hit")) == [("3012", True), ("3112", False)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(prefix_lookup(numbers, "n", 2, plan, "hit")) == [("3012", True), ("3112", False)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_anti_join_keeps_null_keys(spark):
@@ -259,3 +253,34 @@ def test_fingerprint_ignores_order_but_not_values(spark, method):
     assert fingerprint(changed, method).collect() != same
     doubled = fingerprint(df.union(df), method).collect()[0]
     assert doubled.n_rows == 200 and doubled.hash_sum != same[0].hash_sum
+
+
+@pytest.mark.parametrize("method", ["xxhash64", "md5"])
+def test_fingerprint_sees_nulls_and_borders(spark, method):
+    schema = "a string, b string"
+    prints = [
+        tuple(fingerprint(spark.createDataFrame([row], schema), method).collect()[0])
+        for row in [("x", None), (None, "x"), ("\\N", "x"), ("x", ""), ("", "x"), ("x,1:y", "z"), ("x", "y,1:z"), (None, None), ("-", "-")]
+    ]
+    assert len(set(prints)) == len(prints)
+
+
+def test_dataset_diff_by_place_and_types(spark):
+    left = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
+    other = spark.createDataFrame([(1, "x"), (3, "y")], "key int, w string")
+    assert rows(changed_rows(left, other)) == [(2, "y", "left"), (3, "y", "right")]
+    assert schema_differences(left, other) == [("id", "int", None), ("v", "string", None), ("key", None, "int"), ("w", None, "string")]
+    with pytest.raises(ColumnTypeError, match="id: int against string"):
+        changed_rows(left, left.withColumn("id", F.col("id").cast("string")))
+
+
+def test_building_a_lookup_runs_no_job(spark):
+    numbers = spark.createDataFrame([("3012",)], "n string")
+    plan = spark.createDataFrame([("30", "4")], "Debut string, Longueur string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookup", "building only")
+    try:
+        prefix_lookup(numbers, "n", 2, plan, "hit")
+        assert not list(tracker.getJobIdsForGroup("lookup"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -67,9 +67,14 @@ def test_plans_have_no_cross_join_and_no_python(spark, name):
     assert not [bad for bad in FORBIDDEN if bad in plan]
 
 
-def test_only_hash_queries_have_no_sql():
-    assert set(QUERIES) - set(SQL) == {"table_fingerprint_xxhash"}
-    assert not set(SQL) - set(QUERIES)
+def test_all_queries_have_sql():
+    assert set(QUERIES) == set(SQL)
+
+
+def test_the_match_is_computed_once(spark):
+    """The flagship reads stored matches and legs: no tolerance join is left in its plan."""
+    plan = QUERIES["calls_by_outcome"](spark, SF_CALLS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_left_bucket" not in plan and plan.count("Join") <= 3
 
 
 def test_entry(spark):

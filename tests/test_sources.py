@@ -13,6 +13,7 @@ from callweave.sources import (
     Stages,
     export_sorted_csv,
     read_csv,
+    read_csv_by_header,
     read_csv_columns,
     read_ivr_blocks,
     read_ivr_calls,
@@ -96,13 +97,13 @@ def test_orc_folder(spark, tmp_path):
     assert spark.read.orc(str(tmp_path / "o")).count() == 5
 
 
-@pytest.mark.parametrize("bound,single", [(100, True), (99, False)])
-def test_sorted_export(spark, tmp_path, bound, single):
+@pytest.mark.parametrize("single", [True, False])
+def test_sorted_export(spark, tmp_path, single):
     df = spark.range(300).select((F.col("id") % 100).cast("string").alias("a"), F.lit("é;x").alias("b")).repartition(5)
     path = str(tmp_path / "out")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        export_sorted_csv(df, path, single_file_rows=bound)
+        export_sorted_csv(df, path, single_file=single)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     parts = sorted(glob.glob(f"{path}/part-*.csv"))
@@ -122,28 +123,42 @@ def test_stage_survives_its_source_and_prunes(spark, tmp_path):
     assert not os.path.exists(stages.path("s").replace("file:", ""))
 
 
-class FakeContext:
-    def __init__(self, master):
-        self.master, self.folder = master, None
+def test_shared_folder_is_the_sessions_or_below_a_shared_warehouse():
+    def fake(master, named, warehouse):
+        values = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": warehouse}
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: values[key]), sparkContext=context)
 
-    def getCheckpointDir(self):
-        return self.folder
+    assert shared_folder(fake("yarn", "hdfs:///shared/", "file:/x")) == "hdfs:///shared"
+    assert shared_folder(fake("local[2]", None, "file:/x")) == "file:/x/callweave-stages"
+    assert shared_folder(fake("yarn", None, "hdfs:///w")) == "hdfs:///w/callweave-stages"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(fake("yarn", None, "file:/x"))
+
+
+def test_a_failing_run_leaves_no_stages(spark, tmp_path):
+    before = set(os.listdir(shared_folder(spark).replace("file:", "")))
+    paths = DayPaths(*[str(tmp_path / "missing")] * 8)
+    with pytest.raises(Exception):
+        run_day(spark, paths, datetime.date(2024, 1, 10), str(tmp_path / "result"), "UTC")
+    assert set(os.listdir(shared_folder(spark).replace("file:", ""))) == before
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
 
+def test_mixed_headers_fail_or_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n1,one\n")
+    (tmp_path / "b.csv").write_text("v,k\ntwo,2\n")
+    folder, ddl = str(tmp_path), "k int, v string"
+    for read in (lambda: read_csv(spark, folder, ddl), lambda: read_csv_columns(spark, folder, ddl)):
+        with pytest.raises(Exception, match=r"(?s)(a|b)\.csv"):
+            read().collect()
+    assert rows(read_csv_by_header(spark, folder, ddl)) == [(1, "one"), (2, "two")]
 
-def test_shared_folder_is_the_sessions_or_temporary_only_when_local():
-    def fake(master, named):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: named), sparkContext=FakeContext(master)
-        )
 
-    assert shared_folder(fake("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    local = fake("local[2]", None)
-    assert shared_folder(local) == shared_folder(local) == local.sparkContext.folder
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(fake("yarn", None))
+def test_daily_files_fail_on_another_header(spark, tmp_path):
+    (tmp_path / "calls.csv").write_text("nonsense,id\n1,2\n")
+    for read in (read_ivr_calls, read_ivr_blocks):
+        with pytest.raises(Exception, match="(?s)calls.csv"):
+            read(spark, str(tmp_path / "calls.csv")).collect()
 
 
 def test_regression_of_files(spark, tmp_path):
@@ -179,13 +194,13 @@ def test_run_day_from_files(spark, tmp_path):
         "tickets", "calls", "blocks", "users", "organisation", "layout", "plan", "codes")])
     result = str(tmp_path / "result")
     before = set(os.listdir(shared_folder(spark).replace("file:", "")))
-    facts = run_day(spark, paths, day, result)
+    facts = run_day(spark, paths, day, result, "UTC")
     assert set(os.listdir(shared_folder(spark).replace("file:", ""))) == before
     first = facts.count()
     assert first > 0 and {r.jour for r in facts.select("jour").distinct().collect()} == {"2024-01-10"}
     other = datetime.date(2024, 1, 9)
     write_day(facts.limit(1), f"{result}/facts", other.isoformat())
-    assert run_day(spark, paths, day, result).count() == first
+    assert run_day(spark, paths, day, result, "UTC").count() == first
     assert rows(spark.read.orc(f"{result}/facts").groupBy("jour").count().withColumn("jour", F.col("jour").cast("string"))) == [
         ("2024-01-09", 1), ("2024-01-10", first),
     ]
