@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import sys
 import types
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callweave.sources.shared import Stages
@@ -19,9 +24,26 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+#: Where stage folders are noted while ``noted_stages`` is open.
+_notes: list[list[Stages]] = []
+
+
 def stages(spark: SparkSession) -> Stages:
     """Stage tables of one run, in a folder of their own below ``spark.checkpoint.dir``."""
-    return Stages(spark)
+    made = Stages(spark)
+    for note in _notes:
+        note.append(made)
+    return made
+
+
+@contextlib.contextmanager
+def noted_stages():
+    """A list of all stage folders made meanwhile, for a caller who knows when to remove them."""
+    _notes.append([])
+    try:
+        yield _notes[-1]
+    finally:
+        _notes.pop()
 
 
 def drop(kept: Stages, *names: str) -> None:
@@ -96,3 +118,44 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)],
         schema=schema,
     )
+
+
+def chosen_rows(kept: Stages, table: DataFrame, numbers: DataFrame, inside: bool) -> DataFrame:
+    """``row`` of the stage table's rows whose ``number`` is among ``numbers``, or is not.
+
+    Numbers are those of monotonically_increasing_id, so the upper bits name the task that wrote a
+    row. The numbers are written with a folder for each such task, and whoever reads its
+    rows reads that folder too: wide rows are filtered where they lie and never shuffled.
+    """
+    spark, path = table.sparkSession, kept.path("chosen")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_part = numbers.select("number", F.shiftright("number", 33).alias("part"))
+    by_part.repartition(parts, "part").write.partitionBy("part").parquet(path)
+    home = re.sub("^file:/+", "/", path)  # a plain path is one for pyarrow, too
+
+    def pick(batches):
+        part, known = None, None
+        for batch in batches:
+            number = batch.column("number")
+            mask = np.zeros(batch.num_rows, bool)
+            tasks = number.to_numpy() >> 33
+            for task in np.unique(tasks).tolist():
+                if task != part:
+                    part, known = task, _numbers(f"{home}/part={task}")
+                own = tasks == task
+                mask[own] = pc.is_in(number, value_set=known).to_numpy(zero_copy_only=False)[own] == inside
+            yield pa.RecordBatch.from_arrays([batch.column("row").filter(pa.array(mask))], names=["row"])
+
+    return table.select("row", "number").mapInArrow(pick, f"row {table.schema['row'].dataType.simpleString()}")
+
+
+def _numbers(folder: str) -> pa.Array:
+    files, root = fs.FileSystem.from_uri(folder)
+    if files.get_file_info(root).type != fs.FileType.Directory:
+        return pa.array([], pa.int64())
+    names = [i.path for i in files.get_file_info(fs.FileSelector(root)) if i.path.endswith(".parquet")]
+    found = []
+    for name in names:
+        with files.open_input_file(name) as file:
+            found.append(one_array(pq.ParquetFile(file).read(columns=["number"])["number"]))
+    return pa.concat_arrays(found) if found else pa.array([], pa.int64())

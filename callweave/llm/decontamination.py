@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from callweave.llm.common import batch_of, mixed, one_array, ranges, slices, stages, text_column, utf8
+from callweave.llm.common import batch_of, chosen_rows, mixed, one_array, ranges, slices, stages, text_column, utf8
 
 WINDOW, GRAM = 10, 5
 #: Size of the bitmap that goes to every task: 2 MiB.
@@ -177,8 +177,21 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
 
 def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                   carry: list[str] | None = None, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Every row of ``docs`` as column ``row`` (or the columns ``carry`` of it), with n_words, n_hit, n_items, items (sorted,
-    comma-joined) and contaminated.
+    """Every row of ``docs`` as column ``row`` (or the columns ``carry`` of it), with n_words, n_hit,
+    n_items, items (sorted, comma-joined) and contaminated."""
+    _, numbered, judged = _judged(docs, items, text, item_id, carry, window, gram)
+    return numbered.select("number", "row").join(judged, "number").drop("number")
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
+                   window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The given columns of the rows without a hit."""
+    kept, numbered, judged = _judged(docs, items, text, item_id, None, window, gram)
+    return chosen_rows(kept, numbered, judged.where("contaminated"), False).select("row.*")
+
+
+def _judged(docs: DataFrame, items: DataFrame, text: str, item_id: str, carry: list[str] | None, window: int, gram: int):
+    """The numbered rows, and what is found by number.
 
     The rows are written once; counts and candidates come from the written rows, so that the
     number of a row stays the same if a task runs again.
@@ -255,4 +268,4 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
                 F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.lit("")).alias("items"),
                 F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
     )
-    return numbered.select("number", "row").join(judged, "number").drop("number")
+    return kept, numbered, judged

@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callweave.llm.common import batch_of, mixed, one_array, ranges, slices, stages, text_column
+from callweave.llm.common import batch_of, chosen_rows, mixed, one_array, ranges, slices, stages, text_column
 from callweave.llm.components import components
 
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -276,4 +276,4 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wor
     named = _named(kept, distinct, links(distinct, table_keys(n, WIDE), n, radius_of(similarity, WIDE), WIDE))
     narrow = marked.select(*names, F.struct(F.col("id").isNull().alias("no_id"), "id", "number").alias("first"))
     first = narrow.join(named.select(*names, "root"), names).groupBy("root").agg(F.min("first").alias("first"))
-    return marked.join(first.select("first.number"), "number", "left_semi").select("row.*")
+    return chosen_rows(kept, marked, first.select("first.number"), True).select("row.*")

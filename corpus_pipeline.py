@@ -11,11 +11,14 @@ operator sees the given row as one struct, so no name can clash.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callweave.llm import decontamination, packing, pii, quality_rules, simhash
-from callweave.llm.common import read, stages
+from callweave.llm.common import drop, noted_stages, read, stages
+from callweave.sources.shared import Stages
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +34,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window with the benchmark."""
     items = read(spark, sf_dir, "benchmark", "item_id", "text")
-    return decontamination.contamination(docs, items).where("not contaminated").select("row.*")
+    return decontamination.uncontaminated(docs, items)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +51,36 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pieces.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
 
 
+#: Stage tables of the stage that was called last.
+_last: list[Stages] = []
+
+
+def _forget() -> None:
+    while _last:
+        _last.pop().remove()
+
+
+def _tidy(stage):
+    """A stage is called when the one before it has been written, so what that left in the shared
+    folder can go. Its own tables stay, since its result reads them."""
+
+    @functools.wraps(stage)
+    def tidied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _forget()
+        with noted_stages() as made:
+            result = stage(spark, docs, sf_dir)
+        _last.extend(made)
+        return result
+
+    return tidied
+
+
 STAGES = [
-    ("quality_rules", quality_stage),
-    ("simhash_near_duplicates", near_duplicate_stage),
-    ("benchmark_decontamination", decontamination_stage),
-    ("personal_data", personal_data_stage),
-    ("best_fit_packing", packing_stage),
+    ("quality_rules", _tidy(quality_stage)),
+    ("simhash_near_duplicates", _tidy(near_duplicate_stage)),
+    ("benchmark_decontamination", _tidy(decontamination_stage)),
+    ("personal_data", _tidy(personal_data_stage)),
+    ("best_fit_packing", _tidy(packing_stage)),
 ]
 
 #: EM, fingerprints, transducers and packing are beyond SQL; the stages are tested by brute force.
@@ -62,8 +89,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each reading what the one before it wrote."""
-    kept = stages(spark)
+    kept, before = stages(spark), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = kept.keep(stage(spark, docs, sf_dir), name)
+        if before:
+            drop(kept, before)
+        before = name
+    _forget()
     return docs
