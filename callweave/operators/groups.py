@@ -75,11 +75,13 @@ def group_total(
 
 
 def joined_labels(
-    df: DataFrame, keys: Sequence[str], label: str, name: str, separator: str = ", "
+    df: DataFrame, keys: Sequence[str], label: str, name: str, separator: str = ", ",
+    distinct: bool = False,
 ) -> DataFrame:
-    """All labels of a key in one text, sorted. The text holds every label, so use it for
-    keys with few of them (countries per dial code)."""
-    labels = F.array_join(F.array_sort(F.collect_list(label)), separator)
+    """All labels of a key in one text, sorted; ``distinct`` names each once. For reference tables:
+    the text holds every label, so a key must have few of them (countries per dial code)."""
+    collected = F.collect_set(label) if distinct else F.collect_list(label)
+    labels = F.array_join(F.array_sort(collected), separator)
     return df.groupBy(*keys).agg(labels.alias(name))
 
 

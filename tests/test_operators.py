@@ -284,3 +284,9 @@ def test_building_a_lookup_runs_no_job(spark):
         assert not list(tracker.getJobIdsForGroup("lookup"))
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_joined_labels_once_each(spark):
+    df = spark.createDataFrame([("1", "b"), ("1", "a"), ("1", "b"), ("2", None)], "k string, label string")
+    assert rows(joined_labels(df, ["k"], "label", "t")) == [("1", "a, b, b"), ("2", "")]
+    assert rows(joined_labels(df, ["k"], "label", "t", distinct=True)) == [("1", "a, b"), ("2", "")]
