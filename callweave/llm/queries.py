@@ -143,3 +143,41 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id < best THEN best END AS refers_to
 FROM m
 """
+
+
+SQL["op4_suffix_array"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+     w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+           FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+     f AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s),
+     g AS (SELECT doc_id, i FROM w JOIN f USING (s) WHERE first_id < doc_id),
+     m AS (SELECT doc_id, i, CASE WHEN lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 >= i THEN 0 ELSE 1 END AS new_run FROM g),
+     r AS (SELECT doc_id, i, sum(new_run) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM m),
+     s AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM r GROUP BY doc_id, run),
+     p AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS prev FROM s),
+     k AS (SELECT p.doc_id, string_agg(substr(h, 2 * prev + 1, 2 * (a - prev)), '' ORDER BY a) AS head, max(b) AS last,
+                  sum(b - a) AS n_removed, count(*) AS n_spans FROM p JOIN d USING (doc_id) GROUP BY p.doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[0-9a-z\x{80}-\x{10FFFF}]+')"
+)
+
+SQL["op9_winnowing"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+     iw AS (SELECT DISTINCT item, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+            FROM (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+     dw AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d JOIN (SELECT DISTINCT n FROM iw) ON len(w) >= n)),
+     h AS (SELECT DISTINCT doc_id, i, n, item FROM dw JOIN iw USING (n, win)),
+     c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
+     e AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN e USING (doc_id)
+"""
