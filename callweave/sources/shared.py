@@ -35,8 +35,9 @@ class Stages:
         return f"{self.folder}/{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write the rows once and return them read back."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        """Write the rows once and return them read back. Stages are written once and read a few
+        times, so they are compressed for size."""
+        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def remove(self) -> None:
