@@ -33,7 +33,7 @@ MAGIC = b"WARC/1.0\r\n"
 REVISIT_BYTES = 1000
 #: Bytes after which the writer begins a new archive, and of a reader's range.
 ARCHIVE_BYTES, RANGE_BYTES = 64 << 20, 4 << 20
-#: Longest header that the reader takes for one.
+#: Bytes that the reader takes for a header at first; of a longer one it reads on.
 HEADER_BYTES = 1 << 16
 
 POINTERS = "file string, size long, offset long, exit long"
@@ -134,16 +134,28 @@ class Archive:
             return self.window[a : a + length]
         return self.file.read_at(max(min(length, self.size - start), 0), start)
 
+    def head(self, offset: int) -> bytes | None:
+        """A header of any length up to its blank line; None for no whole one. A magic that begins a
+        line is no field, so a search from inside a payload ends at the next such magic."""
+        length, seen, left = HEADER_BYTES, 0, self.size - offset
+        while True:
+            head = self.read(offset, min(length, left))
+            if not head.startswith(MAGIC):
+                return None
+            stop = head.find(b"\r\n\r\n", max(seen - 3, 0))
+            if stop >= 0:
+                return head[:stop]
+            if length >= left or head.find(b"\r\n" + MAGIC, max(seen - len(MAGIC) - 1, 0)) >= 0:
+                return None
+            seen, length = length, 2 * length
+
     def header(self, offset: int):
         """Fields, and where the block begins and the record ends; None for no whole record."""
-        head = self.read(offset, min(HEADER_BYTES, self.size - offset))
-        stop = head.find(b"\r\n\r\n")
-        if not head.startswith(MAGIC) or stop < 0:
-            return None
-        fields = parsed(head[:stop])
+        head = self.head(offset)
+        fields = None if head is None else parsed(head)
         if fields is None:
             return None
-        begin = offset + stop + 4
+        begin = offset + len(head) + 4
         end = begin + int(fields["content-length"]) + 4
         if end > self.size or self.read(end - 4, 4) != b"\r\n\r\n":
             return None
