@@ -71,8 +71,10 @@ def words_of(data: np.ndarray, at: np.ndarray):
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of k words from each place; the last k - 1 places are of no use."""
-    total = np.zeros(max(len(hashes) - k + 1, 0), np.uint64)
+    """Hash of k words from each place that has so many from there on; none of fewer words than k."""
+    if len(hashes) < k:
+        return np.zeros(0, np.uint64)
+    total = np.zeros(len(hashes) - k + 1, np.uint64)
     for i in range(k):
         total = total * np.uint64(_BASE) + hashes[i : len(hashes) - k + 1 + i]
     return mixed(total + np.uint64(k))
