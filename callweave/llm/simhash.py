@@ -16,6 +16,14 @@ arrays. Trees stay in the task that holds their shard: sending all of them to al
 broadcast data that grows with the corpus. A shard reports each member's link to the least
 member that it is connected with, never all pairs; components join the shards' reports.
 
+``one_of_each`` links texts whose sets of shingles have a Jaccard similarity of ``SIMILARITY``.
+Its fingerprints are of the sets, and its shards are the keys of ``BANDS`` bands of ``BAND_ROWS`` least
+hashes (MinHash): a pair of similarity s shares one with 1 - (1 - s^4)^20, whatever the size of the
+corpus; at 0.8 that fails once in 38,000. A shard's BK-tree gives candidates within ``radius_of``,
+which few pairs of 0.8 exceed, and each candidate's two texts are compared shingle by shingle.
+To compare few, the nearest candidate of each fingerprint comes first; then, in turns of
+growing ranks, those that are in different components still, until none is left.
+
 Null and empty texts have no words: their fingerprint is zero and links like any other. Texts
 with fewer words than a shingle have their whole sequence as one. Null ids are never the
 name of a component, unless all its ids are null. Repeated rows come out repeated.
@@ -31,18 +39,21 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callweave.llm.common import batch_of, chosen_rows, mixed, one_array, ranges, slices, stages, text_column
+from callweave.llm.common import batch_of, chosen_rows, drop, mixed, one_array, ranges, slices, stages, text_column
 from callweave.llm.components import components
 
 WORDS, RADIUS, SEED = 4, 4, 42
-#: Of similar texts: words of a shingle, least similarity, 64-bit words of a fingerprint, tables.
-SIMILAR_WORDS, SIMILARITY, WIDE, TABLES = 5, 0.8, 4, 40
-#: Bits of a table's key at least.
-KEY_BITS = 16
+_ODD = 0x9E3779B97F4A7C15
+#: Of similar texts: words of a shingle, least similarity, 64-bit words of a fingerprint.
+SIMILAR_WORDS, SIMILARITY, WIDE = 5, 0.8, 4
+#: Shards of similar texts: bands, and least hashes of each.
+BANDS, BAND_ROWS = 20, 4
 #: Members of a shard that the number of blocks aims at, at most.
 SHARD_MEMBERS = 256
 #: Pairs of a fingerprint and a node that a task looks at in one step.
 FRONT = 1 << 18
+#: Pairs in one shard that a task ranks in one step, at most, unless one fingerprint has more.
+RANKED = 1 << 21
 
 
 def _hashes(text: bytes, words: int, seed: int) -> list[int]:
@@ -57,11 +68,15 @@ def _hashes(text: bytes, words: int, seed: int) -> list[int]:
 
 def fingerprints_of(texts: list[bytes], words: int = WORDS, seed: int = SEED, wide: int = 1) -> np.ndarray:
     """Fingerprints of texts as rows of ``wide`` numbers, the first from the shingles' hashes, the
-    others from these mixed. Bits are counted in byte lanes, over at most 255 hashes at a time."""
-    lists = [_hashes(t, words, seed) for t in texts]
+    others from these mixed."""
+    return _fingerprints([_hashes(t, words, seed) for t in texts], wide)
+
+
+def _fingerprints(lists: list[list[int]], wide: int) -> np.ndarray:
+    """Bits are counted in byte lanes, over at most 255 hashes at a time."""
     counts = np.array([len(x) for x in lists], dtype=np.int64)
     h = np.fromiter(itertools.chain.from_iterable(lists), dtype=np.uint64, count=int(counts.sum()))
-    out = np.zeros((len(texts), wide), np.uint64)
+    out = np.zeros((len(lists), wide), np.uint64)
     full = np.flatnonzero(counts)
     if not len(full):
         return out
@@ -71,7 +86,7 @@ def fingerprints_of(texts: list[bytes], words: int = WORDS, seed: int = SEED, wi
     lanes = np.uint64(0x0101010101010101)
     for w in range(wide):
         if w:
-            h = mixed(h + np.uint64(0x9E3779B97F4A7C15))
+            h = mixed(h + np.uint64(_ODD))
         for bit in range(8):
             sums = np.add.reduceat((h >> np.uint64(bit)) & lanes, begins)
             by_byte = np.add.reduceat(sums.view(np.uint8).reshape(-1, 8).astype(np.int64), first, axis=0)
@@ -81,6 +96,45 @@ def fingerprints_of(texts: list[bytes], words: int = WORDS, seed: int = SEED, wi
     return out
 
 
+def band_keys(lists: list[list[int]]) -> np.ndarray:
+    """For each list of hashes a row of BANDS keys, each of the least of BAND_ROWS hashes of its own;
+    lists that are not empty."""
+    counts = np.array([len(x) for x in lists], dtype=np.int64)
+    h = np.fromiter(itertools.chain.from_iterable(lists), dtype=np.uint64, count=int(counts.sum()))
+    begins = np.cumsum(counts) - counts
+    drawn = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS, BAND_ROWS), dtype=np.uint64)
+    keys = np.zeros((len(lists), BANDS), np.uint64)
+    for band in range(BANDS):
+        keys[:, band] = band
+        for row in range(BAND_ROWS):
+            own = (h ^ drawn[0, band, row]) * (drawn[1, band, row] | np.uint64(1))
+            own ^= own >> np.uint64(32)
+            own *= np.uint64(_ODD)
+            keys[:, band] = mixed(keys[:, band] + np.minimum.reduceat(own, begins))
+    return keys
+
+
+def set_fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """``row`` and ``text`` in; ``row``, the wide fingerprint of the set of shingles and its ``keys``
+    out. A text without words has no keys."""
+    row, names = docs.schema["row"], _names(WIDE)
+
+    def mark(batches):
+        for part in slices(batches):
+            lists = [list(set(_hashes((t or "").encode(), words, SEED))) for t in one_array(part.column("text")).to_pylist()]
+            fp = _fingerprints(lists, WIDE).view(np.int64)
+            full = [x for x in lists if x]
+            keys = band_keys(full).view(np.int64) if full else np.zeros((0, BANDS), np.int64)
+            at = np.r_[0, np.cumsum([BANDS if x else 0 for x in lists])]
+            keys = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys.reshape(-1)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), *(pa.array(fp[:, w].copy()) for w in range(WIDE)), keys], names=["row", *names, "keys"]
+            )
+
+    types = f"row {row.dataType.simpleString()}, " + ", ".join(f"{n} long" for n in names) + ", keys array<bigint>"
+    return docs.select("row", "text").mapInArrow(mark, types)
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS, wide: int = 1) -> DataFrame:
     """``row`` and ``text`` in; ``row`` and the fingerprint out, as longs ``fp``, ``fp1``, ..."""
     row, names = docs.schema["row"], _names(wide)
@@ -99,8 +153,10 @@ def _names(wide: int) -> list[str]:
 
 
 def radius_of(similarity: float, wide: int) -> int:
-    """Bits that fingerprints of texts with this Jaccard similarity differ in, on average."""
-    return round(64 * wide * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    """Bits that fingerprints of sets with this Jaccard similarity differ in at most: four standard
+    deviations above the mean, which for small sets is up to a quarter larger than for large ones."""
+    share = 1.25 * math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(64 * wide * share + 4 * math.sqrt(64 * wide * share * (1 - share)))
 
 
 def blocks_for(n: int, radius: int) -> int:
@@ -155,18 +211,16 @@ def bk_trees(shard: np.ndarray, fp: np.ndarray):
     return root, code[order], child[order]
 
 
-def linked(shard: np.ndarray, fp: np.ndarray, radius: int) -> np.ndarray:
-    """For each row the least row of its shard that it is connected with by links."""
+def near_pairs(root: np.ndarray, code: np.ndarray, child: np.ndarray, fp: np.ndarray, radius: int, rows: np.ndarray):
+    """Of the given rows, row, earlier row of the same tree and distance of all pairs within the radius."""
     bits = 64 * fp.shape[1]
-    root, code, child = bk_trees(shard, fp)
-    label = np.arange(len(fp))
-    everyone = np.flatnonzero(root != label)
-    todo = [(everyone[i : i + FRONT], root[everyone[i : i + FRONT]]) for i in range(0, len(everyone), FRONT)]
+    rows = rows[root[rows] != rows]
+    todo = [(rows[i : i + FRONT], root[rows[i : i + FRONT]]) for i in range(0, len(rows), FRONT)]
     while todo:
         query, node = todo.pop()
         d = _distance(fp, query, node)
         near = d <= radius
-        _join(label, query[near], node[near])
+        yield query[near], node[near], d[near]
         low = np.searchsorted(code, node * (bits + 1) + np.maximum(d - radius, 0))
         high = np.searchsorted(code, node * (bits + 1) + np.minimum(d + radius, bits), side="right")
         query = np.repeat(query, high - low)
@@ -174,9 +228,30 @@ def linked(shard: np.ndarray, fp: np.ndarray, radius: int) -> np.ndarray:
         earlier = node < query
         query, node = query[earlier], node[earlier]
         todo += [(query[i : i + FRONT], node[i : i + FRONT]) for i in range(0, len(query), FRONT)]
+
+
+def linked(shard: np.ndarray, fp: np.ndarray, radius: int) -> np.ndarray:
+    """For each row the least row of its shard that it is connected with by links."""
+    trees, label = bk_trees(shard, fp), np.arange(len(fp))
+    for query, node, _ in near_pairs(*trees, fp, radius, label.copy()):
+        _join(label, query, node)
     return label
 
 
+def ranked_pairs(shard: np.ndarray, fp: np.ndarray, radius: int):
+    """All pairs within the radius, with the distance and, for each row, their rank by it. Pairs of a
+    row come together."""
+    trees, n = bk_trees(shard, fp), len(fp)
+    step = np.cumsum(np.arange(n) - trees[0]) // RANKED
+    for rows in np.split(np.arange(n), np.flatnonzero(np.diff(step)) + 1):
+        found = list(near_pairs(*trees, fp, radius, rows))
+        if found:
+            row, other, d = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((other, d, row))
+            row, other, d = row[order], other[order], d[order]
+            yield row, other, d, np.arange(len(row)) - np.searchsorted(row, row)
+
+
 def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Give linked rows the least label of both; every label ends at its own root."""
     while len(a):
@@ -199,21 +274,10 @@ def block_keys(n: int, radius: int) -> list[Column]:
     return [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(mask)))) for i, mask in enumerate(masks)]
 
 
-def table_keys(n: int, wide: int, tables: int = TABLES) -> list[Column]:
-    """Shards by samples of bits, drawn without order from all bits of the fingerprint."""
-    bits = max(KEY_BITS, math.ceil(math.log2(max(n, 1) / 64)))
-    keys, names = [], _names(wide)
-    for t in range(tables):
-        drawn = np.random.default_rng(t).choice(64 * wide, bits, replace=False).tolist()
-        masks = [sum(1 << (b % 64) for b in drawn if b // 64 == w) for w in range(wide)]
-        keys.append(F.xxhash64(F.lit(t), *[F.col(name).bitwiseAND(F.lit(_signed(m))) for name, m in zip(names, masks)]))
-    return keys
-
-
-def links(distinct: DataFrame, keys: list[Column], n: int, radius: int, wide: int = 1) -> DataFrame:
+def links(distinct: DataFrame, keys: list[Column], n: int, radius: int) -> DataFrame:
     """Links that connect what is within the radius in some shard: ``a`` and ``b`` of the column
     ``node``, at most one for each node and shard."""
-    names = ["shard", "node", *_names(wide)]
+    names = ["shard", "node", "fp"]
     members = distinct.withColumn("shard", F.explode(F.array(*keys))).select(*names)
     parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * len(keys) / 500_000))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -233,24 +297,117 @@ def links(distinct: DataFrame, keys: list[Column], n: int, radius: int, wide: in
     return members.repartition(parts, "shard").mapInArrow(search, "a long, b long").distinct()
 
 
+def shared_shards(distinct: DataFrame, parts: int) -> DataFrame:
+    """``shard`` and ``node`` of the shards that have two nodes or more."""
+    schema = pa.schema([("shard", pa.int64()), ("node", pa.int64())])
+
+    def pick(batches):
+        columns = [[b.column(name).to_numpy() for name in ("shard", "node")] for b in batches]
+        if columns:
+            shard, node = (np.concatenate(c) for c in zip(*columns))
+            order = np.argsort(shard, kind="stable")
+            shard, node = shard[order], node[order]
+            same = shard[1:] == shard[:-1]
+            keep = np.r_[False, same] | np.r_[same, False]
+            yield batch_of(schema, shard[keep], node[keep])
+
+    return distinct.select(F.explode("keys").alias("shard"), "node").repartition(parts, "shard").mapInArrow(pick, "shard long, node long")
+
+
+def candidates(members: DataFrame, parts: int, radius: int, low: int, high: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of different components ``root`` with their distance ``d``, of those with a rank
+    from ``low`` to ``high``; without ``b``, shards that have pairs of higher ranks."""
+    names = ["shard", "node", "root", *_names(WIDE)]
+    schema = pa.schema([("shard", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("d", pa.int64())])
+
+    def search(batches):
+        columns = [[b.column(name).to_numpy() for name in names] for b in batches]
+        if not columns:
+            return
+        shard, node, root, *fp = (np.concatenate(c) for c in zip(*columns))
+        order = np.lexsort((mixed(node.view(np.uint64)), shard))
+        shard, node, root, fp = shard[order], node[order], root[order], np.stack(fp, axis=1).view(np.uint64)[order]
+        for row, other, d, rank in ranked_pairs(shard, fp, radius):
+            apart = root[row] != root[other]
+            now = apart & (rank >= low) & (rank < high)
+            yield batch_of(schema, shard[row[now]], node[row[now]], node[other[now]], d[now])
+            more = np.unique(shard[row[apart & (rank >= high)]])
+            yield batch_of(schema, more, *[pa.nulls(len(more), pa.int64())] * 3)
+
+    return members.select(*names).repartition(parts, "shard").mapInArrow(search, "shard long, a long, b long, d long")
+
+
+def verified(marked: DataFrame, pairs: DataFrame, text: str, words: int, similarity: float) -> DataFrame:
+    """The pairs ``a``, ``b`` of row numbers whose texts' sets of shingles are so similar."""
+    numbers = pairs.select(F.explode(F.array("a", "b")).alias("number")).distinct()
+    texts = marked.select(F.struct("number", text_column(f"row.`{text}`").alias("text")).alias("row"), "number")
+    texts = chosen_rows(stages(pairs.sparkSession), texts, numbers, True).select("row.*")
+    both = pairs.join(texts.select(F.col("number").alias("a"), F.col("text").alias("text_a")), "a")
+    both = both.join(texts.select(F.col("number").alias("b"), F.col("text").alias("text_b")), "b")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(batches):
+        for batch in batches:
+            near = []
+            for x, y in zip(batch.column("text_a"), batch.column("text_b")):
+                x, y = (set(_hashes(t.as_py().encode(), words, SEED)) for t in (x, y))
+                near.append(len(x & y) / max(len(x | y), 1) >= similarity)
+            near = pa.array(near, pa.bool_())
+            yield batch_of(schema, batch.column("a").filter(near), batch.column("b").filter(near))
+
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+
+
+def similar_links(kept, marked: DataFrame, distinct: DataFrame, text: str, words: int, similarity: float) -> DataFrame:
+    """Links ``a``, ``b`` of nodes, each between similar texts, that connect all candidates that are similar."""
+    spark, radius = distinct.sparkSession, radius_of(similarity, WIDE)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(distinct.count() * BANDS / 500_000))
+    shared = kept.keep(shared_shards(distinct, parts), "shared")
+    prints = distinct.select("node", *_names(WIDE))
+    members = kept.keep(shared.join(prints, "node"), "members")
+    drop(kept, "shared")
+    # First the nearest candidate of each node in all its shards.
+    found = kept.keep(candidates(members.withColumn("root", F.col("node")), parts, radius, 0, 1), "found")
+    nearest = found.where("b is not null").groupBy("a").agg(F.min(F.struct("d", "b")).alias("least")).select("a", "least.b")
+    edges = kept.keep(verified(marked, kept.keep(nearest, "nearest"), text, words, similarity), "edges")
+    drop(kept, "found")
+    low, high, turn = 0, 4, 0
+    while True:
+        turn += 1
+        roots = components(edges)
+        named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        found = kept.keep(candidates(named, parts, radius, low, high), f"found-{turn}")
+        pairs = kept.keep(found.where("b is not null").select("a", "b").distinct(), f"pairs-{turn}")
+        if not pairs.isEmpty():
+            new = verified(marked, pairs, text, words, similarity)
+            edges = kept.keep(edges.unionByName(new), f"edges-{turn}")
+        more = found.where("b is null").select("shard").distinct()
+        if more.isEmpty():
+            return edges
+        members = kept.keep(members.join(more, "shard", "left_semi"), f"members-{turn}")
+        drop(kept, f"found-{turn}", f"pairs-{turn}", "members" if turn == 1 else f"members-{turn - 1}")
+        low, high = high, 4 * high
+
+
 def _marked(docs: DataFrame, text: str, doc_id: str, carry: list[str] | None, words: int, wide: int):
     """Stage tables: rows with id, number and fingerprint; distinct fingerprints with their least id
-    and, as ``node``, a number of their own."""
+    and, as ``node``, a number of their own; those of sets with keys."""
     kept, names = stages(docs.sparkSession), _names(wide)
     rows = docs.select(F.struct(*(carry or ["*"])).alias("row"), F.col(doc_id).alias("id"), text_column(text).alias("text"))
-    marked = kept.keep(
-        fingerprints(rows.select(F.struct("row", "id").alias("row"), "text"), words, wide)
-        .select("row.row", "row.id", *names, F.monotonically_increasing_id().alias("number")),
-        "fingerprints",
+    rows = rows.select(F.struct("row", "id").alias("row"), "text")
+    made = fingerprints(rows, words) if wide == 1 else set_fingerprints(rows, words)
+    keys = [c for c in made.columns if c == "keys"]
+    marked = kept.keep(made.select("row.row", "row.id", *names, *keys, F.monotonically_increasing_id().alias("number")), "fingerprints")
+    distinct = kept.keep(
+        marked.groupBy(*names).agg(F.min("id").alias("id"), F.min("number").alias("node"), *[F.first(c).alias(c) for c in keys]), "distinct"
     )
-    distinct = kept.keep(marked.groupBy(*names).agg(F.min("id").alias("id"), F.min("number").alias("node")), "distinct")
     return kept, marked, distinct
 
 
 def _named(kept, distinct: DataFrame, edges: DataFrame) -> DataFrame:
     roots = components(edges)
     return kept.keep(
-        distinct.join(roots, "node", "left").select(*[c for c in distinct.columns if c != "node"], F.coalesce("root", "node").alias("root")),
+        distinct.join(roots, "node", "left").select(*[c for c in distinct.columns if c not in ("node", "keys")], F.coalesce("root", "node").alias("root")),
         "named",
     )
 
@@ -272,8 +429,7 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wor
     last, and the first of rows with the same id."""
     names = _names(WIDE)
     kept, marked, distinct = _marked(docs, text, doc_id, None, words, WIDE)
-    n = distinct.count()
-    named = _named(kept, distinct, links(distinct, table_keys(n, WIDE), n, radius_of(similarity, WIDE), WIDE))
+    named = _named(kept, distinct, similar_links(kept, marked, distinct, text, words, similarity))
     narrow = marked.select(*names, F.struct(F.col("id").isNull().alias("no_id"), "id", "number").alias("first"))
     first = narrow.join(named.select(*names, "root"), names).groupBy("root").agg(F.min("first").alias("first"))
     return chosen_rows(kept, marked, first.select("first.number"), True).select("row.*")
