@@ -55,3 +55,15 @@ def test_similar_groups_with_near_misses(spark):
         docs.append((i, " ".join(head + own)))
     got = sorted(r.doc_id for r in simhash.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).collect())
     assert got == brute_kept(docs) and 1 < len(got) < 60
+
+
+def test_keys_meet_at_the_threshold_whatever_the_corpus():
+    """Shards depend on a text alone, and 0.8 meets in one of them."""
+    rng = np.random.default_rng(3)
+    missed = unlike = 0
+    for _ in range(1000):
+        h = rng.integers(0, 1 << 63, 220).astype(np.uint64).tolist()
+        keys = simhash.band_keys([h[:90], h[10:100], h[110:210]])
+        missed += not (keys[0] == keys[1]).any()
+        unlike += (keys[0] == keys[2]).any()
+    assert missed <= 1 and not unlike
