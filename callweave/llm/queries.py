@@ -7,7 +7,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callweave.llm import (
     decontamination,
+    filter_audit,
+    html_extraction,
     kneser_ney,
+    lexical_search,
     packing,
     pii,
     quality_rules,
@@ -134,6 +137,28 @@ def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op11_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extraction.extracted(read(spark, sf_dir, "pages", "page_id", "url", "html"), carry=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@registered
+def op12_geometric_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    docs, items = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text")
+    found = lexical_search.ranked(docs, items, carry=["doc_id"])
+    return found.select("item_id", F.col("rank").cast("int").alias("rank"), "row.doc_id", "score")
+
+
+@registered
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in each part, in all orders."""
+    labels = read(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    return filter_audit.audited(spark, f"{sf_dir}/documents.parquet", labels)
+
+
 SQL["op6_warc"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
      d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
@@ -181,3 +206,53 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN e USING (doc_id)
 """
+
+SQL["op12_geometric_blocks"] = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+     d AS (SELECT row_number() OVER () AS k, doc_id, w, len(w) AS n FROM t WHERE len(w) > 0),
+     s AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM d),
+     q AS (SELECT item_id, row_number() OVER () AS qk, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+     qt AS (SELECT item_id, qk, term, count(*) AS times FROM (SELECT item_id, qk, unnest(w) AS term FROM q) GROUP BY ALL),
+     p AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM qt) GROUP BY ALL),
+     f AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+     m AS (SELECT k, doc_id, 75 + (25 * n * nd) // l AS m FROM d, s),
+     r AS (SELECT item_id, qk, k, doc_id, CAST(sum(times * f.w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+           FROM qt JOIN p USING (term) JOIN f USING (term) JOIN m USING (k) GROUP BY ALL),
+     o AS (SELECT *, row_number() OVER (PARTITION BY qk ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 20
+"""
+
+SQL["op13_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+     w AS (SELECT *, regexp_extract_all(text, '[^ \t\n\x0B\f\r]+') AS ws, min(doc_id) OVER (PARTITION BY text) AS first_id FROM d),
+     b AS (SELECT doc_id, part,
+                  (CASE WHEN len(ws) < 100 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 2 ELSE 0 END)
+                  + (CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 4 ELSE 0 END)
+                  + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN doc_id > first_id THEN 16 ELSE 0 END) AS mask FROM w),
+     l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+     g AS (SELECT part, mask, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n FROM b LEFT JOIN l USING (doc_id) GROUP BY ALL),
+     x AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(f, bit)),
+     o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+           FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+     s AS (SELECT filter_order, step, bits[step] AS own, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS earlier
+           FROM o, (SELECT unnest(range(1, 6)) AS step)),
+     c AS (SELECT part, filter_order, step, own, CAST(sum(CASE WHEN mask & (own | earlier) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+                  CAST(sum(CASE WHEN mask & own > 0 AND mask & earlier = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+                  CAST(sum(CASE WHEN mask & own > 0 AND mask & earlier > 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+                  CAST(sum(CASE WHEN mask = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+                  CAST(sum(CASE WHEN mask & own > 0 AND mask & earlier = 0 AND good THEN n ELSE 0 END) AS BIGINT) AS good_lost,
+                  CAST(sum(CASE WHEN mask & own > 0 AND mask & earlier = 0 AND toxic THEN n ELSE 0 END) AS BIGINT) AS toxic_lost
+           FROM g, s GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM c
+"""
+
+SQL["op11_site_style_tree"] = r"""
+WITH p AS (SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '') AS a FROM pages),
+     t AS (SELECT page_id, url, regexp_replace(regexp_replace(a, '<(p|/p|h1|/h1|br)>', ' ', 'g'), '</?[a-z][^>]*>', '', 'g') AS a FROM p),
+     e AS (SELECT page_id, url, replace(replace(replace(replace(replace(replace(a, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS a FROM t)
+SELECT page_id, url, trim(regexp_replace(a, '\s+', ' ', 'g')) AS text, length(trim(regexp_replace(a, '\s+', ' ', 'g'))) AS n_chars FROM e
+"""

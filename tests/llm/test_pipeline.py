@@ -30,7 +30,7 @@ def test_stages_are_in_order_and_registered():
     assert list(STAGES) == ["quality_rules", "simhash_near_duplicates", "benchmark_decontamination", "personal_data", "best_fit_packing"]
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     names = list(entry.queries())
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
 
 
 def test_each_stage_works_on_what_the_one_before_kept(spark, tmp_path):
