@@ -4,13 +4,14 @@ Five filters judge each text by itself (A to D) or by the whole table (E: a smal
 text). All counts follow from one table: how many documents of a part, with which labels, fail
 which set of filters (a mask of five bits). That table is kept up to date by a stream:
 
-* All files of the input are processed as available-now micro-batches. Each task measures its texts and
-  combines equal ones: rows that have a smaller id of the same text beside them fail E for certain
-  and go straight to the part counters; those with the least id go on, as counts for each part,
-  mask and labels. So a text that a third of all rows share is a few rows for each task.
-* State is keyed by the text (SHA-256 and length): the least id so far and the counts of its rows. What comes with a larger
-  id fails E. When a smaller id arrives, the counts noted for the earlier one are retracted (negative deltas) and
-  counted again with E; equal ids are added.
+* All files of the input are processed as available-now micro-batches. Texts are measured where they are read; only
+  their keys (SHA-256 and length), masks and ids go on, and meet the labels. Each task then combines equal texts: rows
+  that have a smaller id of the same text beside them fail E for certain and are only counted; those with the least id go
+  on, as counts for each part, mask and labels. So a text that a third of all rows share is a few rows for each task.
+* State is keyed by the text: the least id so far and the counts of its rows. What comes with a larger id
+  fails E. When a smaller id arrives, the counts noted for the earlier one are retracted (negative deltas) and
+  counted again with E; equal ids are added. Texts share a state value by hash, ``STATE_TEXTS`` of them on average: Spark
+  calls Python once for each value, not for each text, and the number of values grows with the input.
 * Deltas go to a file sink with a checkpoint: a batch that is repeated after a failure counts once.
 
 The sum of all deltas is the table, in whatever order files and rows came. It has at most
@@ -26,7 +27,6 @@ from __future__ import annotations
 import hashlib
 import itertools
 import uuid
-from collections import Counter
 
 import pandas as pd
 import pyarrow as pa
@@ -37,16 +37,19 @@ from callweave.llm.common import one_array, slices, stages
 
 FILTERS = "ABCDE"
 E_BIT = 16
-#: Files of a micro-batch, at most.
-BATCH_FILES = 64
+#: Files of a micro-batch, at most; texts that share a state value, on average.
+BATCH_FILES, STATE_TEXTS = 64, 1000
 _CAPITALS = bytes(range(65, 91))
 _SYMBOLS = b"#$%&*|"
-#: Rows settled by their task have a key of this many, which keep no state.
-SETTLED_KEYS = 64
 
-_COMBINED = "key string, id long, part string, mask int, good boolean, toxic boolean, n long"
+#: Rows of one text that have the same part, mask and labels; key is null if they fail E for certain.
+_COUNTS = pa.schema([
+    ("key", pa.string()), ("no_id", pa.bool_()), ("id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("good", pa.bool_()), ("toxic", pa.bool_()),
+    ("n", pa.int64()),
+])
+_COUNTS_DDL = "key string, no_id boolean, id long, part string, mask int, good boolean, toxic boolean, n long"
 _DELTAS = "part string, mask int, good boolean, toxic boolean, n long"
-_STATE = "id long, parts array<string>, masks array<int>, goods array<boolean>, toxics array<boolean>, counts array<long>"
+_WHAT = ["part", "mask", "good", "toxic"]
 
 
 def own_mask(data: bytes, points: int) -> int:
@@ -58,96 +61,90 @@ def own_mask(data: bytes, points: int) -> int:
     return mask | (8 if len(data.translate(None, _SYMBOLS)) < len(data) else 0)
 
 
-def _before(a: int | None, b: int | None) -> bool:
-    """Whether the first id is smaller; null is larger than all others."""
-    return a is not None and (b is None or a < b)
+def measured(docs: DataFrame) -> DataFrame:
+    """``id``, ``part`` and ``text`` in; id, part, the text's ``key`` and the ``mask`` of A to D out."""
+
+    def measure(batches):
+        for part in slices(batches):
+            keys, masks = [], []
+            for text in one_array(part.column("text")).to_pylist():
+                data = (text or "").encode()
+                keys.append(f"{hashlib.sha256(data).hexdigest()}{len(data)}")
+                masks.append(own_mask(data, len(text or "")))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), part.column("part"), pa.array(keys, pa.string()), pa.array(masks, pa.int32())], names=["id", "part", "key", "mask"]
+            )
+
+    return docs.select("id", "part", "text").mapInArrow(measure, "id long, part string, key string, mask int")
+
+
+def _least(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.Series]:
+    """The rows in order of key and id (null is larger than all others), and which have the least id of their key."""
+    rows = rows.sort_values(["key", "no_id", "id"], ignore_index=True)
+    first = rows.groupby("key", sort=False)[["no_id", "id"]].transform("first")
+    return rows, (rows["no_id"] == first["no_id"]) & (rows["id"] == first["id"])
 
 
-def combined(docs: DataFrame) -> DataFrame:
-    """``id``, ``part``, ``text``, ``good`` and ``toxic`` in; for each text of a task the rows with its least id, by part,
-    mask and labels, under the text's key; all others, which fail E, under a key without state."""
-    schema = pa.schema([
-        ("key", pa.string()), ("id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("good", pa.bool_()), ("toxic", pa.bool_()), ("n", pa.int64()),
-    ])
+def _summed(rows: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+    return rows.groupby(by, sort=False, dropna=False, as_index=False)["n"].sum()
+
+
+def combined(rows: DataFrame) -> DataFrame:
+    """``id``, ``part``, ``key``, ``mask``, ``good`` and ``toxic`` in; counts of equal rows out, for each text of a batch those with
+    its least id, all others as counts without a key."""
 
     def combine(batches):
-        for part in slices(batches):
-            least: dict[str, int | None] = {}
-            held: dict[str, Counter] = {}
-            settled: Counter = Counter()
-            columns = [one_array(part.column(c)).to_pylist() for c in ("id", "part", "text", "good", "toxic")]
-            for doc, name, text, good, toxic in zip(*columns):
-                data = (text or "").encode()
-                key = f"{hashlib.sha256(data).hexdigest()}{len(data)}"
-                row = (name, own_mask(data, len(text or "")), good, toxic)
-                if key not in held:
-                    least[key], held[key] = doc, Counter([row])
-                elif doc == least[key]:
-                    held[key][row] += 1
-                else:
-                    if _before(doc, least[key]):
-                        least[key], late, held[key] = doc, held[key], Counter([row])
-                    else:
-                        late = {row: 1}
-                    for (n, mask, g, t), count in late.items():
-                        settled[n, mask | E_BIT, g, t] += count
-            rows = [(k, least[k], *row, n) for k, counts in held.items() for row, n in counts.items()]
-            salt = hashlib.sha256(min(held).encode()).digest()[0] % SETTLED_KEYS if held else 0
-            rows += [(f"settled-{salt}", None, *row, n) for row, n in settled.items()]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-    return docs.select("id", "part", "text", "good", "toxic").mapInArrow(combine, _COMBINED)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            given = batch.to_pandas()
+            ids = one_array(batch.column("id"))
+            given["no_id"], given["id"], given["n"] = ids.is_null().to_pandas(), ids.fill_null(0).to_numpy(), 1
+            given, held = _least(given)
+            late = given[~held].assign(mask=lambda x: x["mask"] | E_BIT, key=None, no_id=True, id=0)
+            out = pd.concat([_summed(x, ["key", "no_id", "id", *_WHAT]) for x in (given[held], late) if len(x)])
+            yield from pa.Table.from_pandas(out[_COUNTS.names], _COUNTS, preserve_index=False).to_batches()
+
+    return rows.select("id", "part", "key", "mask", "good", "toxic").mapInArrow(combine, _COUNTS_DDL)
 
 
 def update(key: tuple, frames, state: GroupState):
-    """Deltas of the part counters from new rows of one text; state is the least id and its counts."""
-    deltas: Counter = Counter()
-    if key[0].startswith("settled-"):
-        for frame in frames:
-            for part, mask, good, toxic, n in zip(frame["part"], frame["mask"], frame["good"], frame["toxic"], frame["n"]):
-                deltas[part, int(mask), bool(good), bool(toxic)] += int(n)
-    else:
-        known, held = False, Counter()
-        least = None
-        if state.exists:
-            old, *lists = state.get
-            known, least = True, None if old is None else int(old)
-            held = Counter({row[:4]: row[4] for row in zip(*lists)})
-        for frame in frames:
-            for doc, part, mask, good, toxic, n in zip(*[frame[c] for c in ("id", "part", "mask", "good", "toxic", "n")]):
-                doc = None if pd.isna(doc) else int(doc)
-                row, n = (part, int(mask), bool(good), bool(toxic)), int(n)
-                if not known or doc == least:
-                    known, least = True, doc
-                    held[row] += n
-                    deltas[row] += n
-                elif _before(doc, least):
-                    for (p, m, g, t), count in held.items():
-                        deltas[p, m, g, t] -= count
-                        deltas[p, m | E_BIT, g, t] += count
-                    least, held = doc, Counter({row: n})
-                    deltas[row] += n
-                else:
-                    deltas[part, row[1] | E_BIT, row[2], row[3]] += n
-        state.update((least, *map(list, zip(*[(*row, n) for row, n in held.items()]))))
-    rows = [(*row, n) for row, n in deltas.items() if n]
-    yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"]).astype({"mask": "int32", "good": "bool", "toxic": "bool", "n": "int64"})
-
-
-def run_stream(docs: DataFrame, labels: DataFrame, target: str, text: str = "text", doc_id: str = "doc_id", part: str = "lang") -> DataFrame:
+    """Deltas of the part counters from new rows of the texts of one state value."""
+    new = pd.concat(frames)
+    settled, new = new[new["key"].isna()], new[new["key"].notna()]
+    changes = [settled]
+    if len(new):
+        old = pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists else new[:0]
+        rows, held = _least(pd.concat([old, new], ignore_index=True) if len(old) else new)
+        kept = _summed(rows[held], ["key", "no_id", "id", *_WHAT])
+        late = rows[~held].assign(mask=lambda x: x["mask"] | E_BIT)
+        changes += [old.assign(n=-old["n"]), kept, late]
+        table, sink = pa.Table.from_pandas(kept[_COUNTS.names], _COUNTS, preserve_index=False), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _COUNTS) as writer:
+            writer.write_table(table)
+        state.update((sink.getvalue().to_pybytes(),))
+    deltas = _summed(pd.concat([c[[*_WHAT, "n"]] for c in changes if len(c)]), _WHAT)
+    yield deltas[deltas["n"] != 0]
+
+
+def run_stream(docs: DataFrame, labels: DataFrame, target: str, text: str = "text", doc_id: str = "doc_id", part: str = "lang",
+               state_values: int = 200) -> DataFrame:
     """Process all that the stream ``docs`` has now; the deltas, as stored below ``target``. Called again with the
-    same folder and a stream of the same files and new ones, it takes up the new ones."""
+    same folder, number of state values and a stream of the same files and new ones, it takes up the new ones."""
     spark = labels.sparkSession
     marks = labels.select(F.col(doc_id).alias("_id"), (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
-    marks = marks.groupBy("_id").agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in ("good", "toxic")])
-    rows = docs.select(
+    marks = marks.where("_id is not null").groupBy("_id").agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in ("good", "toxic")])
+    rows = measured(docs.select(
         F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.col(text).cast("string").alias("text")
+    ))
+    # Rows without an id find no label; their salt spreads them over the tasks of the join.
+    rows = rows.withColumn("salt", F.when(F.col("id").isNull(), F.pmod(F.xxhash64("key", "part"), F.lit(1000))).otherwise(0))
+    rows = rows.join(marks.withColumn("_salt", F.lit(0).cast("long")), (F.col("id") == F.col("_id")) & (F.col("salt") == F.col("_salt")), "left")
+    rows = rows.select("id", "part", "key", "mask", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("good", "toxic")])
+    value = F.pmod(F.when(F.col("key").isNull(), F.xxhash64(*_WHAT)).otherwise(F.xxhash64("key")), F.lit(state_values))
+    changes = combined(rows).groupBy(value.alias("value")).applyInPandasWithState(
+        update, _DELTAS, "counts binary", "append", GroupStateTimeout.NoTimeout
     )
-    rows = rows.join(marks, F.col("id") == F.col("_id"), "left").select(
-        "id", "part", "text", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("good", "toxic")]
-    )
-    changes = combined(rows).groupBy("key").applyInPandasWithState(update, _DELTAS, _STATE, "append", GroupStateTimeout.NoTimeout)
     query = (
         changes.writeStream.format("parquet").outputMode("append").option("path", f"{target}/deltas")
         .option("checkpointLocation", f"{target}/progress").trigger(availableNow=True).start()
@@ -190,9 +187,10 @@ def audit(deltas: DataFrame) -> DataFrame:
 def audited(spark: SparkSession, path: str, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", part: str = "lang",
             batch_files: int = BATCH_FILES) -> DataFrame:
     """The audit of the Parquet files at ``path`` (one file or a folder)."""
-    schema = spark.read.parquet(path).select(doc_id, text, part).schema
+    table = spark.read.parquet(path).select(doc_id, text, part)
+    values = max(64, table.count() // STATE_TEXTS)
     # A stream reads a single file only by a pattern: the last letter as a class of one letter.
     pattern = f"{path.rstrip('/')[:-1]}[{path.rstrip('/')[-1]}]"
-    docs = spark.readStream.schema(schema).option("maxFilesPerTrigger", batch_files).parquet(pattern)
+    docs = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", batch_files).parquet(pattern)
     target = f"{stages(spark).folder}/{uuid.uuid4().hex}"
-    return audit(run_stream(docs, labels, target, text, doc_id, part))
+    return audit(run_stream(docs, labels, target, text, doc_id, part, values))

@@ -9,8 +9,8 @@ projection of it) is nearest, and a cluster is cut into blocks of at most ``BLOC
 coordinatewise maximum of its vectors.
 
 A query visits the lists of its terms. The inner product of query and summary bounds the
-score of every document in the block, so the block is skipped if that is below the query's
-threshold: the least of the ``limit`` best scores seen so far. That starts from a lower bound over all
+score of every document in the block that no list before it had, so the block is skipped if that is below the
+query's threshold: the least of the ``limit`` best scores seen so far. That starts from a lower bound over all
 documents (``thresholds``), which each shard raises. All other blocks are scored in full. A document
 with a score has a term of the query that weighs more than nothing, so it stands in a visited list.
 
@@ -126,59 +126,63 @@ def _vectors(batch: pa.RecordBatch, weight: np.ndarray, documents: int, total: i
 
 
 class Shard:
-    """Vectors of some documents, and the blocks of every term's posting list."""
+    """Vectors of some documents, and the blocks of every term's posting list.
+
+    Columns are in the order of the lists: rare terms first, since they weigh most. A document that
+    stands in no earlier list has none of the earlier terms, and one that does has been scored or
+    its bound has failed; so a list's summaries hold the terms from its own on.
+    """
 
     def __init__(self, vectors: np.ndarray, rank: np.ndarray):
-        self.vectors, self.rank = vectors, rank  # rank: place of the document among equal scores
+        self.order = np.argsort(np.count_nonzero(vectors, axis=0), kind="stable")
+        self.vectors, self.rank = np.ascontiguousarray(vectors[:, self.order]), rank  # rank: place among equal scores
         size = vectors.shape[1]
         random = np.random.default_rng(size)
-        self.sketch = (vectors @ random.choice(np.array([-1, 1], vectors.dtype), (size, SKETCH))).astype(np.float32)
+        self.sketch = (self.vectors @ random.choice(np.array([-1, 1], vectors.dtype), (size, SKETCH))).astype(np.float32)
         self.sketch /= np.maximum(np.linalg.norm(self.sketch, axis=1, keepdims=True), 1e-30)
 
-    def blocks(self, term: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The posting list of a term in the order of its blocks, where they begin, and their summaries."""
-        docs = np.flatnonzero(self.vectors[:, term])
+    def blocks(self, place: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The posting list of a column in the order of its blocks, where they begin, and their summaries."""
+        docs = np.flatnonzero(self.vectors[:, place])
         picked = docs[:: max(BLOCK, len(docs) // 64)]  # representatives, spread over the list
         nearest = (self.sketch[docs] @ self.sketch[picked].T).argmax(axis=1)
         order = np.argsort(nearest, kind="stable")
         docs, nearest = docs[order], nearest[order]
-        place = np.arange(len(docs))
         begin = np.searchsorted(nearest, nearest)  # of the own cluster
-        starts = np.flatnonzero((place - begin) % BLOCK == 0)
-        return docs, starts, np.maximum.reduceat(self.vectors[docs], starts, axis=0)
+        starts = np.flatnonzero((np.arange(len(docs)) - begin) % BLOCK == 0)
+        return docs, starts, np.maximum.reduceat(self.vectors[docs, place:], starts, axis=0)
 
     def search(self, queries: np.ndarray, floor: np.ndarray, limit: int):
         """For each query (a column of ``queries``: how often it has each term) its best documents with at
         least the score ``floor``: query, document and score; also how many blocks were seen and skipped."""
+        queries = queries[self.order]
         found = [(np.zeros(0, np.int64), np.zeros(0, self.vectors.dtype)) for _ in floor]
-        least, scored = floor.astype(self.vectors.dtype), np.zeros((len(self.vectors), len(floor)), bool)
+        least, scored = floor.astype(self.vectors.dtype), np.zeros((len(floor), len(self.vectors)), bool)
+        terms = [np.flatnonzero(queries[:, q]) for q in range(len(floor))]
+        # The bound of all lists from a place on: the summary of all documents as one block.
+        highest = self.vectors.max(axis=0, initial=0)
+        rest = np.cumsum((queries * highest[:, None])[::-1], axis=0)[::-1]
         seen = skipped = 0
-        # Rare terms first: they weigh most, so thresholds rise early.
-        order = np.argsort((self.vectors != 0).sum(axis=0), kind="stable")
-        for term in order:
-            asks = np.flatnonzero(queries[term])
-            if not len(asks) or not self.vectors[:, term].any():
+        for place in range(len(queries)):
+            asks = np.flatnonzero((queries[place] > 0) & (rest[place] >= least))
+            if not len(asks) or not highest[place]:
                 continue
-            docs, starts, summary = self.blocks(term)
+            docs, starts, summary = self.blocks(place)
             ends = np.r_[starts[1:], len(docs)]
-            bound = summary @ queries[:, asks]
+            bound = summary @ queries[place:, asks]
             seen += bound.size
             for i, q in enumerate(asks.tolist()):
-                open_blocks = np.flatnonzero(bound[:, i] >= least[q])
-                skipped += len(starts) - len(open_blocks)
-                if not len(open_blocks):
-                    continue
-                inside = np.zeros(len(docs) + 1, np.int64)
-                np.add.at(inside, starts[open_blocks], 1)
-                np.add.at(inside, ends[open_blocks], -1)
-                new = docs[np.cumsum(inside[:-1]) > 0]
-                new = new[~scored[new, q]]
+                open_blocks = bound[:, i] >= least[q]
+                skipped += len(starts) - int(open_blocks.sum())
+                new = docs[np.repeat(open_blocks, ends - starts)]
+                new = new[~scored[q, new]]
                 if not len(new):
                     continue
-                scored[new, q] = True
-                has = np.flatnonzero(queries[:, q])
-                score = self.vectors[np.ix_(new, has)] @ queries[has, q]
-                keep = (score >= least[q]) & (score > 0)
+                scored[q, new] = True
+                score = self.vectors[new[:, None], terms[q]] @ queries[terms[q], q]
+                keep = score >= least[q]
+                if not keep.any():
+                    continue
                 old_docs, old_scores = found[q]
                 docs_now, scores_now = np.r_[old_docs, new[keep]], np.r_[old_scores, score[keep]]
                 best = np.lexsort((self.rank[docs_now], -scores_now))[:limit]
