@@ -142,7 +142,7 @@ def run_stream(docs: DataFrame, labels: DataFrame, target: str, text: str = "tex
     rows = rows.join(marks.withColumn("_salt", F.lit(0).cast("long")), (F.col("id") == F.col("_id")) & (F.col("salt") == F.col("_salt")), "left")
     rows = rows.select("id", "part", "key", "mask", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("good", "toxic")])
     value = F.pmod(F.when(F.col("key").isNull(), F.xxhash64(*_WHAT)).otherwise(F.xxhash64("key")), F.lit(state_values))
-    changes = combined(rows).groupBy(value.alias("value")).applyInPandasWithState(
+    changes = combined(rows).withColumn("value", value).groupBy("value").applyInPandasWithState(
         update, _DELTAS, "counts binary", "append", GroupStateTimeout.NoTimeout
     )
     query = (
