@@ -26,11 +26,11 @@ from callweave.operators.joins import (
     require_parents,
     tolerance_join,
 )
-from callweave.operators.rows import explode_roles, repeat_rows, top_order, union_aligned
+from callweave.operators.rows import distinct_in_ranges, explode_roles, repeat_rows, top_order, union_aligned
 
 __all__ = [
     "anti_join", "attach_by_key", "changed_rows", "columns_only_left",
-    "dedup_on", "dial_code_lookup", "diff_by_column", "diff_summary", "enrich",
+    "dedup_on", "dial_code_lookup", "diff_by_column", "diff_summary", "distinct_in_ranges", "enrich",
     "explode_roles", "fingerprint", "group_total", "joined_labels", "latest_per_key",
     "latest_version", "mark_first", "missing_columns", "normalize_for_diff",
     "null_safe_join", "prefix_lookup", "repeat_rows", "require_columns", "require_parents",

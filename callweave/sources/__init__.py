@@ -1,3 +1,5 @@
+from callweave.sources.days import DayStore, Draft, UnknownDayError
+from callweave.sources.quarantine import BadRowsError, read_csv_quarantined
 from callweave.sources.readers import (
     read_csv,
     read_csv_by_header,
@@ -21,7 +23,8 @@ from callweave.sources.writers import (
 )
 
 __all__ = [
-    "Stages", "export_sorted_csv", "read_csv", "read_csv_by_header", "read_csv_columns", "read_ivr_blocks",
+    "BadRowsError", "DayStore", "Draft", "Stages", "UnknownDayError", "export_sorted_csv", "read_csv",
+    "read_csv_by_header", "read_csv_columns", "read_csv_quarantined", "read_ivr_blocks",
     "read_ivr_calls", "read_layout_file", "read_lines", "read_table", "read_tickets",
     "shared_folder", "synthetic_tickets", "write_csv", "write_day", "write_days", "write_orc",
     "write_orc_table",

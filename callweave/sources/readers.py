@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -36,19 +37,34 @@ def read_csv_by_header(
 ) -> DataFrame:
     """Declared columns of CSV files that need not have them in the same order.
 
-    Each file's own header says where its columns are: the first line of each file is read
-    beforehand (one short job for each file), and files with equal headers are one scan.
+    Each file's own header says where its columns are. One pass over the first lines of all files finds
+    the headers; files with equal headers are one scan, so the number of jobs follows the
+    number of different headers, not of files.
     """
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.text(path).inputFiles()):
-        by_header.setdefault(tuple(read_csv(spark, file, sep=sep).columns), []).append(file)
+    by_header = files_by_header(spark, path)
     if not by_header:
         return spark.createDataFrame([], declared)
     parts = [read_csv_columns(spark, files, declared, sep) for files in by_header.values()]
     return reduce(DataFrame.unionByName, parts)
 
 
+def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Files of each first line that is not blank, in one job. What comes to the driver are the names of the files
+    (which it has listed anyway) and the different headers. Files without a line are left out."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    # A header stands at the start of the file's first block; of that only the first line is kept by each task.
+    first = lines.where((F.col("place.file_block_start") == 0) & (F.trim("value") != ""))
+    headers = first.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    found = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header")
+    # Names come as parts of a URI, and reads take them as they are.
+    return {r.header: [unquote(f) for f in r.files] for r in found.collect()}
+
+
 def read_csv_columns(
     spark: SparkSession, path: str | list[str], schema: StructType | str, sep: str = ","
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from callweave.operators.rows import top_order
+from callweave.operators.rows import distinct_in_ranges
 
 
 def write_orc_table(df: DataFrame, table: str) -> None:
@@ -42,11 +42,12 @@ def export_sorted_csv(
 ) -> None:
     """Distinct rows in total order as CSV with header.
 
-    The sort is range-partitioned, so the part files in name order are the sorted result.
+    One shuffle by ranges of all columns serves both: equal rows meet in one task, which drops copies and sorts,
+    and the part files in name order are the sorted result.
     ``single_file`` sorts in one task and writes one file: for results that a spreadsheet can take.
     """
     if single_file:
         columns = [f"`{c}`" for c in df.columns]
         write_csv(df.distinct().repartition(1).sortWithinPartitions(*columns), path, sep)
     else:
-        write_csv(top_order(df), path, sep)
+        write_csv(distinct_in_ranges(df), path, sep)

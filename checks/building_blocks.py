@@ -44,11 +44,13 @@ from callweave.operators import (
 from callweave.plans import regression_check
 from callweave.plans.tickets import exclude_service_numbers
 from callweave.sources import (
+    DayStore,
     Stages,
     export_sorted_csv,
     read_csv,
     read_csv_by_header,
     read_csv_columns,
+    read_csv_quarantined,
     read_lines,
     read_table,
     write_csv,
@@ -678,6 +680,60 @@ def orc_day_rerun(spark, sf):
     return spark.read.schema("event_id bigint, user_id bigint, event_type string, run string, jour string").orc(path)
 
 
+@query("""
+SELECT event_id, user_id, event_type, CASE WHEN week = '2024-01-08' THEN 'second run' ELSE 'first run' END AS run, week AS jour
+FROM (SELECT *, strftime(date_trunc('week', ts), '%Y-%m-%d') AS week FROM events)
+WHERE week <> '2024-01-08' OR event_type <> 'view'""")
+def day_store_rerun(spark, sf):
+    """Weeks of events published one by one, as tables of two halves. One week is run again and published;
+    another is run again and fails before it is: its first version stays."""
+    store = DayStore(spark, Stages(spark).path("store"))
+    weeks = table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("week")
+    )
+
+    def run(label, rows, name):
+        draft = store.draft(label)
+        rows = rows.where(F.col("week") == label).drop("week").withColumn("run", F.lit(name))
+        for half in (0, 1):
+            draft.write(rows.where(F.col("event_id") % 2 == half), f"half-{half}")
+        return draft
+
+    for r in weeks.select("week").distinct().orderBy("week").collect():
+        run(r.week, weeks, "first run").publish()
+    run("2024-01-08", weeks.where("event_type <> 'view'"), "second run").publish()
+    run("2024-01-15", weeks.where("event_type <> 'view'"), "never published")
+    return store.read("half-0").unionByName(store.read("half-1"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 89 = 0 OR o_orderkey % 97 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+       CASE WHEN o_orderkey % 89 = 0 OR o_orderkey % 97 = 0 THEN NULL ELSE CAST(o_totalprice AS DOUBLE) END AS o_totalprice,
+       CASE WHEN o_orderkey % 89 = 0 THEN concat('order ', o_orderkey, ',', o_custkey, ',1.5')
+            WHEN o_orderkey % 97 = 0 THEN concat(o_orderkey, ',', o_custkey) END AS line
+FROM orders""")
+def scan_csv_quarantine(spark, sf):
+    """CSV in which some lines have a word for a number and others lack a value: good rows, and beside them
+    the bad lines with the order they belong to."""
+    stages = Stages(spark)
+    orders = table(spark, sf, "orders")
+    line = (
+        F.when(F.col("o_orderkey") % 89 == 0, F.concat(F.lit("order "), "o_orderkey", F.lit(","), "o_custkey", F.lit(",1.5")))
+        .when(F.col("o_orderkey") % 97 == 0, F.concat_ws(",", "o_orderkey", "o_custkey"))
+        .otherwise(F.concat_ws(",", "o_orderkey", "o_custkey", F.col("o_totalprice").cast("string")))
+    )
+    # Written by a CSV writer without quotes, so that every file begins with the header.
+    text = orders.select(line.alias("o_orderkey,o_custkey,o_totalprice"))
+    text.write.options(header=True, sep="\u0001", quote="", escapeQuotes=False).csv(stages.path("orders"))
+    schema = "o_orderkey long, o_custkey long, o_totalprice double"
+    good = read_csv_quarantined(spark, stages.path("orders"), schema, stages.path("quarantine"), stages, limit=10**9)
+    bad = spark.read.parquet(stages.path("quarantine")).where("file like '%orders/part-%'")
+    key = F.regexp_extract("line", r"(\d+)", 1).cast("long")
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(
+        bad.select(key.alias("o_orderkey"), F.lit(None).cast("long").alias("o_custkey"), F.lit(None).cast("double").alias("o_totalprice"), "line")
+    )
+
+
 @query("""
 SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events""")
 def sorted_csv_export(spark, sf):

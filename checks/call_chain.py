@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
+import datetime
+import itertools
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callweave import fixed_values as fv
 from callweave.fixed_values import DETAIL_COLUMNS
 from callweave.plans import (
+    DayFiles,
     call_rules,
     cross_reference,
     day_facts,
+    day_with_edges,
     ivr_prep,
     match_calls,
     office_export,
     org_directory,
+    own_rows,
     rerun_cross_reference,
     stats_export,
     tariff_classify,
     ticket_prep,
     user_directory,
 )
+from callweave.plans.midnight import bounds
 from callweave.sources import Stages, write_day
 from checks import views
 from checks.views import BASE_SQL, IVR_SQL, ORGANISATION_SQL, PLAN_SQL, TICKETS_SQL, USERS_SQL
@@ -85,6 +93,29 @@ def q_tolerance_left_carried(spark, sf):
     return _named(_matched(spark, sf, Stages(spark), details="carried"), MATCH_OUTPUT)
 
 
+def q_tolerance_left_by_day(spark, sf):
+    """Tickets matched in four runs, each over the days between two midnights and the edges of its
+    neighbours: the rows are those of one run over all days."""
+    cuts = [datetime.date(2000, 1, 1), *(datetime.date(2024, 1, d) for d in (10, 11, 20)), datetime.date(2100, 1, 1)]
+    periods = [(a, b - datetime.timedelta(days=1)) for a, b in itertools.pairwise(cuts)]
+    filed, stages = [], Stages(spark)
+    blocks, calls = views.ivr_blocks(spark, sf), views.ivr_calls(spark, sf)
+    for first, last in periods:
+        begin, end = bounds(first, last, "UTC")
+        filed.append(DayFiles(
+            own_rows(views.tickets(spark, sf), first, last), blocks.where((F.col("timestamp") >= begin) & (F.col("timestamp") < end)),
+            calls.where((F.col("start") >= begin) & (F.col("start") < end)),
+        ))
+    parts = []
+    for i, (first, last) in enumerate(periods):
+        before, after = filed[i - 1] if i else None, filed[i + 1] if i + 1 < len(filed) else None
+        files = day_with_edges(filed[i], before, after, first, "UTC", 600, last)
+        prepared = stages.keep(ticket_prep(files.tickets), f"tickets-{i}")
+        ivr = stages.keep(ivr_prep(files.ivr_blocks, files.ivr_calls), f"ivr-{i}")
+        parts.append(own_rows(match_calls(prepared, ivr, "UTC"), first, last))
+    return _named(reduce(DataFrame.unionByName, parts), MATCH_OUTPUT)
+
+
 def q_call_rules_v2(spark, sf):
     return _rules(spark, sf, Stages(spark))
 
@@ -523,6 +554,7 @@ QUERIES = {
     "ivr_prep": q_ivr_prep,
     "tolerance_left": q_tolerance_left,
     "rerun_cross_reference": q_rerun_cross_reference,
+    "tolerance_left_by_day": q_tolerance_left_by_day,
     "tolerance_left_carried": q_tolerance_left_carried,
     "call_rules_v2": q_call_rules_v2,
     "call_rules_v1": q_call_rules_v1,
@@ -546,6 +578,7 @@ SQL = {
     "ticket_prep_v1": with_views(BASE_SQL, TICKETS_SQL, PREP_V1, select="SELECT * FROM c1"),
     "ivr_prep": with_views(BASE_SQL, IVR_SQL, IVR_PREP, select="SELECT * FROM c2"),
     "tolerance_left": with_views(*_to_match, select=_match_select),
+    "tolerance_left_by_day": with_views(*_to_match, select=_match_select),
     "tolerance_left_carried": with_views(*_to_match[:-1], MATCH_CARRIED, select=_match_select),
     "call_rules_v2": with_views(*_to_rules, select="SELECT * FROM c4"),
     "call_rules_v1": with_views(*_to_match_v1, _rules_sql("v1"), select="SELECT * FROM c4"),

@@ -169,9 +169,9 @@ def test_regression_of_files(spark, tmp_path):
     assert rows(changed) == [("2", "y", "left"), ("2", "z", "right")]
 
 
-def test_run_day_from_files(spark, tmp_path):
-    """The derived day files written as the formats of the sources, run twice."""
-    day, day_files = datetime.date(2024, 1, 10), "/root/testdata/sf0.01"
+def day_paths(spark, tmp_path, day):
+    """The derived files of a day, written as the formats of the sources; also the reference tables."""
+    day_files = "/root/testdata/sf0.01"
     reference = views.reference(spark, day_files)
     in_day = F.col("InitialStartDateTime").startswith(day.isoformat())
     write_csv(views.tickets(spark, day_files).where(in_day).withColumn("unused", F.lit("u")), str(tmp_path / "tickets"))
@@ -190,8 +190,14 @@ def test_run_day_from_files(spark, tmp_path):
     write_csv(layout, str(tmp_path / "layout"))
     write_csv(reference.numbering_plan, str(tmp_path / "plan"))
     write_csv(reference.dial_codes, str(tmp_path / "codes"))
-    paths = DayPaths(*[str(tmp_path / n) for n in (
-        "tickets", "calls", "blocks", "users", "organisation", "layout", "plan", "codes")])
+    return DayPaths(*[str(tmp_path / n) for n in (
+        "tickets", "calls", "blocks", "users", "organisation", "layout", "plan", "codes")]), reference
+
+
+def test_run_day_from_files(spark, tmp_path):
+    """The files of a day, run twice."""
+    day = datetime.date(2024, 1, 10)
+    paths, _ = day_paths(spark, tmp_path, day)
     result = str(tmp_path / "result")
     before = set(os.listdir(shared_folder(spark).replace("file:", "")))
     facts = run_day(spark, paths, day, result, "UTC")
