@@ -19,10 +19,12 @@ member that it is connected with, never all pairs; components join the shards' r
 ``one_of_each`` links texts whose sets of shingles have a Jaccard similarity of ``SIMILARITY``.
 Its fingerprints are of the sets, and its shards are the keys of ``BANDS`` bands of ``BAND_ROWS`` least
 hashes (MinHash): a pair of similarity s shares one with 1 - (1 - s^4)^20, whatever the size of the
-corpus; at 0.8 that fails once in 38,000. A shard's BK-tree gives candidates within ``radius_of``,
-which few pairs of 0.8 exceed, and each candidate's two texts are compared shingle by shingle.
-To compare few, the nearest candidate of each fingerprint comes first; then, in turns of
-growing ranks, those that are in different components still, until none is left.
+corpus; at 0.8 that fails once in 38,000. A shard's BK-tree links what is within ``radius_of``, which few pairs
+of 0.8 exceed; components of these loose links are families, and in them texts are compared shingle by
+shingle (``similarity``). No pair that is rejected is ever a row.
+
+Hot shards: one that holds more than SPLIT_MEMBERS fingerprints is cut into blocks, and each pair of blocks is a
+tree of its own in a task of its own.
 
 Null and empty texts have no words: their fingerprint is zero and links like any other. Texts
 with fewer words than a shingle have their whole sequence as one. Null ids are never the
@@ -39,8 +41,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callweave.llm.common import batch_of, chosen_rows, drop, mixed, one_array, ranges, slices, stages, text_column
+from callweave.llm.common import batch_of, chosen_rows, mixed, one_array, ranges, slices, stages, text_column
 from callweave.llm.components import components
+from callweave.llm.similarity import family_links
 
 WORDS, RADIUS, SEED = 4, 4, 42
 _ODD = 0x9E3779B97F4A7C15
@@ -52,8 +55,8 @@ BANDS, BAND_ROWS = 20, 4
 SHARD_MEMBERS = 256
 #: Pairs of a fingerprint and a node that a task looks at in one step.
 FRONT = 1 << 18
-#: Pairs in one shard that a task ranks in one step, at most, unless one fingerprint has more.
-RANKED = 1 << 21
+#: A shard of more members is compared in pairs of blocks of so many.
+SPLIT_MEMBERS, SPLIT_BLOCK = 4096, 2048
 
 
 def _hashes(text: bytes, words: int, seed: int) -> list[int]:
@@ -238,20 +241,6 @@ def linked(shard: np.ndarray, fp: np.ndarray, radius: int) -> np.ndarray:
     return label
 
 
-def ranked_pairs(shard: np.ndarray, fp: np.ndarray, radius: int):
-    """All pairs within the radius, with the distance and, for each row, their rank by it. Pairs of a
-    row come together."""
-    trees, n = bk_trees(shard, fp), len(fp)
-    step = np.cumsum(np.arange(n) - trees[0]) // RANKED
-    for rows in np.split(np.arange(n), np.flatnonzero(np.diff(step)) + 1):
-        found = list(near_pairs(*trees, fp, radius, rows))
-        if found:
-            row, other, d = (np.concatenate(x) for x in zip(*found))
-            order = np.lexsort((other, d, row))
-            row, other, d = row[order], other[order], d[order]
-            yield row, other, d, np.arange(len(row)) - np.searchsorted(row, row)
-
-
 def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Give linked rows the least label of both; every label ends at its own root."""
     while len(a):
@@ -274,119 +263,73 @@ def block_keys(n: int, radius: int) -> list[Column]:
     return [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(mask)))) for i, mask in enumerate(masks)]
 
 
-def links(distinct: DataFrame, keys: list[Column], n: int, radius: int) -> DataFrame:
+def split_shards(members: DataFrame, counts: DataFrame) -> DataFrame:
+    """Members of shards with their ``task``: a shard of up to SPLIT_MEMBERS is one; a larger one is cut into blocks by
+    hash, and each pair of blocks is a task. ``counts``: ``shard`` and its ``n`` members, 2 or more; other shards go."""
+    blocks = F.ceil(F.col("n") / SPLIT_BLOCK).cast("long")
+    own = F.pmod(F.xxhash64("node"), blocks)
+    pairs = F.transform(
+        F.sequence(F.lit(0), blocks - 1), lambda other: F.xxhash64(F.col("shard"), F.least(own, other), F.greatest(own, other))
+    )
+    tasks = F.when(F.col("n") > SPLIT_MEMBERS, pairs).otherwise(F.array("shard"))
+    return members.join(counts, "shard").withColumn("task", F.explode(tasks))
+
+
+def links(kept, members: DataFrame, prints: DataFrame, n: int, radius: int) -> DataFrame:
     """Links that connect what is within the radius in some shard: ``a`` and ``b`` of the column
-    ``node``, at most one for each node and shard."""
-    names = ["shard", "node", "fp"]
-    members = distinct.withColumn("shard", F.explode(F.array(*keys))).select(*names)
-    parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * len(keys) / 500_000))
+    ``node``, at most one for each node and task. ``members`` are the ``shard`` and ``node`` of ``n`` rows, ``prints``
+    the fingerprints of nodes."""
+    spark, wide = prints.sparkSession, [c for c in prints.columns if c != "node"]
+    counts = kept.keep(members.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1"), "shards")
+    rows = split_shards(members, counts).select("task", "node").join(prints, "node")
+    names = ["task", "node", *wide]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / 500_000))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def search(batches):
         columns = [[b.column(name).to_numpy() for name in names] for b in batches]
         if not columns:
             return
-        shard, node, *fp = (np.concatenate(c) for c in zip(*columns))
+        task, node, *fp = (np.concatenate(c) for c in zip(*columns))
         fp = np.stack(fp, axis=1).view(np.uint64)
-        order = np.lexsort((mixed(node.view(np.uint64)), shard))  # not by bits, so that trees stay shallow
-        shard, node, fp = shard[order], node[order], fp[order]
-        label = linked(shard, fp, radius)
+        order = np.lexsort((mixed(node.view(np.uint64)), task))  # not by bits, so that trees stay shallow
+        task, node, fp = task[order], node[order], fp[order]
+        label = linked(task, fp, radius)
         other = np.flatnonzero(label != np.arange(len(label)))
         yield batch_of(schema, node[other], node[label[other]])
 
-    return members.repartition(parts, "shard").mapInArrow(search, "a long, b long").distinct()
-
-
-def shared_shards(distinct: DataFrame, parts: int) -> DataFrame:
-    """``shard`` and ``node`` of the shards that have two nodes or more."""
-    schema = pa.schema([("shard", pa.int64()), ("node", pa.int64())])
-
-    def pick(batches):
-        columns = [[b.column(name).to_numpy() for name in ("shard", "node")] for b in batches]
-        if columns:
-            shard, node = (np.concatenate(c) for c in zip(*columns))
-            order = np.argsort(shard, kind="stable")
-            shard, node = shard[order], node[order]
-            same = shard[1:] == shard[:-1]
-            keep = np.r_[False, same] | np.r_[same, False]
-            yield batch_of(schema, shard[keep], node[keep])
+    return rows.select(*names).repartition(parts, "task").mapInArrow(search, "a long, b long").distinct()
 
-    return distinct.select(F.explode("keys").alias("shard"), "node").repartition(parts, "shard").mapInArrow(pick, "shard long, node long")
 
+def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
+    """``number`` and ``text`` of the struct ``row`` in; ``node`` and the set of shingle ``hashes`` out."""
 
-def candidates(members: DataFrame, parts: int, radius: int, low: int, high: int) -> DataFrame:
-    """Pairs ``a``, ``b`` of different components ``root`` with their distance ``d``, of those with a rank
-    from ``low`` to ``high``; without ``b``, shards that have pairs of higher ranks."""
-    names = ["shard", "node", "root", *_names(WIDE)]
-    schema = pa.schema([("shard", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("d", pa.int64())])
-
-    def search(batches):
-        columns = [[b.column(name).to_numpy() for name in names] for b in batches]
-        if not columns:
-            return
-        shard, node, root, *fp = (np.concatenate(c) for c in zip(*columns))
-        order = np.lexsort((mixed(node.view(np.uint64)), shard))
-        shard, node, root, fp = shard[order], node[order], root[order], np.stack(fp, axis=1).view(np.uint64)[order]
-        for row, other, d, rank in ranked_pairs(shard, fp, radius):
-            apart = root[row] != root[other]
-            now = apart & (rank >= low) & (rank < high)
-            yield batch_of(schema, shard[row[now]], node[row[now]], node[other[now]], d[now])
-            more = np.unique(shard[row[apart & (rank >= high)]])
-            yield batch_of(schema, more, *[pa.nulls(len(more), pa.int64())] * 3)
-
-    return members.select(*names).repartition(parts, "shard").mapInArrow(search, "shard long, a long, b long, d long")
-
-
-def verified(marked: DataFrame, pairs: DataFrame, text: str, words: int, similarity: float) -> DataFrame:
-    """The pairs ``a``, ``b`` of row numbers whose texts' sets of shingles are so similar."""
-    numbers = pairs.select(F.explode(F.array("a", "b")).alias("number")).distinct()
-    texts = marked.select(F.struct("number", text_column(f"row.`{text}`").alias("text")).alias("row"), "number")
-    texts = chosen_rows(stages(pairs.sparkSession), texts, numbers, True).select("row.*")
-    both = pairs.join(texts.select(F.col("number").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(texts.select(F.col("number").alias("b"), F.col("text").alias("text_b")), "b")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def compare(batches):
+    def split(batches):
         for batch in batches:
-            near = []
-            for x, y in zip(batch.column("text_a"), batch.column("text_b")):
-                x, y = (set(_hashes(t.as_py().encode(), words, SEED)) for t in (x, y))
-                near.append(len(x & y) / max(len(x | y), 1) >= similarity)
-            near = pa.array(near, pa.bool_())
-            yield batch_of(schema, batch.column("a").filter(near), batch.column("b").filter(near))
+            row = one_array(batch.column("row"))
+            flat = pa.RecordBatch.from_arrays([row.field("number"), row.field("text")], names=["number", "text"])
+            for part in slices([flat]):
+                lists = [np.array(list(set(_hashes((t or "").encode(), words, SEED))), np.uint64).view(np.int64) for t in part.column("text").to_pylist()]
+                at = np.r_[0, np.cumsum([len(x) for x in lists])].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("number"), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int64), *lists])))],
+                    names=["node", "hashes"],
+                )
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+    return rows.mapInArrow(split, "node long, hashes array<bigint>")
 
 
 def similar_links(kept, marked: DataFrame, distinct: DataFrame, text: str, words: int, similarity: float) -> DataFrame:
     """Links ``a``, ``b`` of nodes, each between similar texts, that connect all candidates that are similar."""
-    spark, radius = distinct.sparkSession, radius_of(similarity, WIDE)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(distinct.count() * BANDS / 500_000))
-    shared = kept.keep(shared_shards(distinct, parts), "shared")
-    prints = distinct.select("node", *_names(WIDE))
-    members = kept.keep(shared.join(prints, "node"), "members")
-    drop(kept, "shared")
-    # First the nearest candidate of each node in all its shards.
-    found = kept.keep(candidates(members.withColumn("root", F.col("node")), parts, radius, 0, 1), "found")
-    nearest = found.where("b is not null").groupBy("a").agg(F.min(F.struct("d", "b")).alias("least")).select("a", "least.b")
-    edges = kept.keep(verified(marked, kept.keep(nearest, "nearest"), text, words, similarity), "edges")
-    drop(kept, "found")
-    low, high, turn = 0, 4, 0
-    while True:
-        turn += 1
-        roots = components(edges)
-        named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        found = kept.keep(candidates(named, parts, radius, low, high), f"found-{turn}")
-        pairs = kept.keep(found.where("b is not null").select("a", "b").distinct(), f"pairs-{turn}")
-        if not pairs.isEmpty():
-            new = verified(marked, pairs, text, words, similarity)
-            edges = kept.keep(edges.unionByName(new), f"edges-{turn}")
-        more = found.where("b is null").select("shard").distinct()
-        if more.isEmpty():
-            return edges
-        members = kept.keep(members.join(more, "shard", "left_semi"), f"members-{turn}")
-        drop(kept, f"found-{turn}", f"pairs-{turn}", "members" if turn == 1 else f"members-{turn - 1}")
-        low, high = high, 4 * high
+    radius, names = radius_of(similarity, WIDE), _names(WIDE)
+    prints = distinct.select("node", *names)
+    loose = links(kept, distinct.select(F.explode("keys").alias("shard"), "node"), prints, distinct.count() * BANDS, radius)
+    families = components(kept.keep(loose, "loose")).withColumnRenamed("root", "family")
+    families = kept.keep(families.unionByName(families.select(F.col("family").alias("node"), "family").distinct()), "families")
+    texts = marked.select(F.struct("number", text_column(f"row.`{text}`").alias("text")).alias("row"), "number")
+    texts = chosen_rows(stages(marked.sparkSession), texts, families.select(F.col("node").alias("number")), True)
+    members = kept.keep(shingle_sets(texts, words).join(families, "node").join(prints, "node"), "members")
+    return kept.keep(family_links(kept, members, names, radius, similarity), "links")
 
 
 def _marked(docs: DataFrame, text: str, doc_id: str, carry: list[str] | None, words: int, wide: int):
@@ -418,7 +361,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     ``component_id``: the least id that is reachable by links of at most ``radius`` bits."""
     kept, marked, distinct = _marked(docs, text, doc_id, carry, words, 1)
     n = distinct.count()
-    named = _named(kept, distinct, links(distinct, block_keys(n, radius), n, radius))
+    keys = block_keys(n, radius)
+    members = distinct.select(F.explode(F.array(*keys)).alias("shard"), "node")
+    named = _named(kept, distinct, links(kept, members, distinct.select("node", "fp"), n * len(keys), radius))
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
     return marked.drop("id", "number").join(named.join(least, "root").select("fp", "component_id"), "fp")
 

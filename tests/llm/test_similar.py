@@ -67,3 +67,53 @@ def test_keys_meet_at_the_threshold_whatever_the_corpus():
         missed += not (keys[0] == keys[1]).any()
         unlike += (keys[0] == keys[2]).any()
     assert missed <= 1 and not unlike
+
+
+def template_rows(rng, n, sizes):
+    head = [f"h{i}" for i in range(84)]
+    return [(i, " ".join(head + [f"o{rng.randrange(10**9)}" for _ in range(rng.choice(sizes))])) for i in range(n)]
+
+
+def test_families_of_many_blocks(spark, monkeypatch):
+    """A family that is cut into blocks: a component of several blocks, and near misses in others."""
+    from callweave.llm import similarity
+
+    monkeypatch.setattr(similarity, "BLOCK", 16)
+    monkeypatch.setattr(similarity, "BLOCK_HASHES", 2000)
+    rng = random.Random(8)
+    docs = template_rows(rng, 150, [10, 10, 11, 14])  # two with 10 words of their own are similar, others are not
+    got = sorted(r.doc_id for r in simhash.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert got == brute_kept(docs) and 1 < len(got) < len(docs)
+
+
+def test_no_rejected_pair_becomes_a_row(spark):
+    """Copies of a template just below the threshold: links stay fewer than members, whatever the number of pairs."""
+    rng, n = random.Random(9), 500
+    docs = spark.createDataFrame(template_rows(rng, n, [14]), "doc_id long, text string")
+    kept, marked, distinct = simhash._marked(docs, "text", "doc_id", None, 5, simhash.WIDE)
+    edges = simhash.similar_links(kept, marked, distinct, "text", 5, 0.8)
+    loose = spark.read.parquet(kept.path("loose"))
+    assert edges.count() == 0 and 0 < loose.count() <= simhash.BANDS * n
+    assert spark.read.parquet(kept.path("members")).groupBy("node").count().where("count > 1").count() == 0
+
+
+def test_hot_shards_are_cut_into_blocks(spark, monkeypatch):
+    """All fingerprints in one shard: tasks hold two blocks at most, and no link is lost."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(simhash, "SPLIT_MEMBERS", 100)
+    monkeypatch.setattr(simhash, "SPLIT_BLOCK", 50)
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 150).astype(np.uint64)
+    fp = np.concatenate([base, base ^ (np.uint64(1) << rng.integers(0, 63, 150).astype(np.uint64))])
+    prints = spark.createDataFrame([(i, int(x)) for i, x in enumerate(fp.astype(np.int64))], "node long, fp long")
+    members = prints.select(F.lit(7).cast("long").alias("shard"), "node")
+    counts = members.groupBy("shard").agg(F.count("*").alias("n"))
+    tasks = simhash.split_shards(members, counts).groupBy("task").count().collect()
+    assert len(tasks) == 21 and max(r["count"] for r in tasks) < 150
+    found = {tuple(sorted((r.a, r.b))) for r in simhash.links(simhash.stages(spark), members, prints, 300, 4).collect()}
+    label = list(range(300))
+    for a, b in found:
+        old, new = max(label[a], label[b]), min(label[a], label[b])
+        label = [new if x == old else x for x in label]
+    assert all(label[i] == label[i + 150] for i in range(150)) and len(set(label)) == 150
