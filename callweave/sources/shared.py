@@ -21,7 +21,16 @@ def shared_folder(spark: SparkSession) -> str:
         named = f"{spark.conf.get('spark.sql.warehouse.dir')}/callweave-stages"
         if named.startswith("file:") and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return named.rstrip("/")
+    return _qualified(spark, named.rstrip("/")) if hasattr(spark, "_jsc") else named.rstrip("/")
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, so that Spark and whoever opens files itself mean the same one. A folder
+    without a scheme lies on the session's default file system; one behind a view is named by where it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    return files.resolvePath(path).toString()
 
 
 class Stages:

@@ -28,6 +28,7 @@ from callweave.sources import (
     write_orc,
     write_orc_table,
 )
+from callweave.sources.shared import _qualified
 from checks import views
 from conftest import rows
 
@@ -223,3 +224,16 @@ def test_an_empty_rerun_empties_the_day(spark, tmp_path):
     write_day(spark.range(0), path, "2024-01-02")
     stored = spark.read.schema("id bigint, jour string").orc(path)
     assert rows(stored) == [(0, "2024-01-01"), (1, "2024-01-01"), (2, "2024-01-01")]
+
+
+def test_shared_folder_is_qualified(spark, tmp_path):
+    """A folder without a scheme is named with the file system that Spark takes it for, also behind a view."""
+    assert shared_folder(spark).startswith("file:/")
+    configuration = spark._jsc.hadoopConfiguration()
+    configuration.set("fs.viewfs.mounttable.shared.link./stages", f"file://{tmp_path}")
+    try:
+        folder = _qualified(spark, "viewfs://shared/stages/mine")
+        assert folder == f"file:{tmp_path}/mine"
+        assert Stages(spark, folder).keep(spark.range(3), "x").count() == 3 and os.path.isdir(tmp_path / "mine" / "x")
+    finally:
+        configuration.unset("fs.viewfs.mounttable.shared.link./stages")
