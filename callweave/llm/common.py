@@ -149,11 +149,21 @@ def chosen_rows(kept: Stages, table: DataFrame, numbers: DataFrame, inside: bool
     return table.select("row", "number").mapInArrow(pick, f"row {table.schema['row'].dataType.simpleString()}")
 
 
-def _numbers(folder: str) -> pa.Array:
+def parquet_files(folder: str) -> tuple[fs.FileSystem, list[str]]:
+    """The Parquet files of one part of a folder that Spark wrote by parts. A part that has no rows has no folder; if
+    the folder of all parts is not there, the task looks in another place than Spark wrote to, or it was
+    removed, and the job fails: taken for an empty part it would silently lose rows."""
     files, root = fs.FileSystem.from_uri(folder)
-    if files.get_file_info(root).type != fs.FileType.Directory:
-        return pa.array([], pa.int64())
-    names = [i.path for i in files.get_file_info(fs.FileSelector(root)) if i.path.endswith(".parquet")]
+    if files.get_file_info(root).type == fs.FileType.Directory:
+        return files, [i.path for i in files.get_file_info(fs.FileSelector(root)) if i.path.endswith(".parquet")]
+    whole = root.rsplit("/", 1)[0]
+    if files.get_file_info(whole).type != fs.FileType.Directory:
+        raise FileNotFoundError(f"{whole} is not there, so its part {folder} cannot be known to be empty")
+    return files, []
+
+
+def _numbers(folder: str) -> pa.Array:
+    files, names = parquet_files(folder)
     found = []
     for name in names:
         with files.open_input_file(name) as file:

@@ -38,7 +38,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from callweave.llm.common import drop, mixed, one_array, ranges, slices, stages, text_column, utf8
+from callweave.llm.common import drop, mixed, one_array, parquet_files, ranges, slices, stages, text_column, utf8
 
 LENGTH, GRAM = 50, 24
 WINDOWS = LENGTH - GRAM + 1
@@ -298,13 +298,11 @@ class Answers:
     def of(self, part: int, block: int) -> list[bytes]:
         if part != self.part:
             self.part, self.by_block = part, {}
-            files, root = fs.FileSystem.from_uri(f"{self.folder}/part={part}")
-            if files.get_file_info(root).type == fs.FileType.Directory:
-                for info in files.get_file_info(fs.FileSelector(root)):
-                    if info.path.endswith(".parquet"):
-                        table = pq.read_table(files.open_input_file(info.path))
-                        for b, packed in zip(table["block"].to_pylist(), table["packed"].to_pylist()):
-                            self.by_block.setdefault(b, []).append(packed)
+            files, names = parquet_files(f"{self.folder}/part={part}")
+            for name in names:
+                table = pq.read_table(files.open_input_file(name))
+                for b, packed in zip(table["block"].to_pylist(), table["packed"].to_pylist()):
+                    self.by_block.setdefault(b, []).append(packed)
         return self.by_block.get(block, [])
 
 
