@@ -10,7 +10,7 @@ from callweave.operators import enrich, null_safe_join
 from callweave.plans.organisation import OFFICE_CODE_LENGTH
 
 
-def _not_counted():
+def not_counted():
     """Calls without a license, and voice-response calls that were transferred (their other
     leg counts). A row with a null key is never left out."""
     no_license = F.col("endcause") == fv.NO_LICENSE
@@ -30,7 +30,7 @@ def cross_reference(tariffs: DataFrame, users: DataFrame, organisation: DataFram
     have, are left out.
     """
     directory = users.select("Internal_Number", "Cost_Center")
-    counted = tariffs.where(~_not_counted())
+    counted = tariffs.where(~not_counted())
     block_code = without_blanks(F.col("SAGES"), OFFICE_CODE_LENGTH)
     center = F.col("Cost_Center")
     with_code = (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import itertools
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,8 +14,10 @@ from callweave.fixed_values import DETAIL_COLUMNS
 from callweave.plans import (
     DayFiles,
     call_rules,
+    changed_days,
     cross_reference,
     day_facts,
+    day_index,
     day_with_edges,
     ivr_prep,
     match_calls,
@@ -26,6 +29,7 @@ from callweave.plans import (
     tariff_classify,
     ticket_prep,
     user_directory,
+    write_index,
 )
 from callweave.plans.midnight import bounds
 from callweave.sources import Stages, write_day
@@ -187,6 +191,23 @@ def q_rerun_cross_reference(spark, sf):
     return rerun_cross_reference(spark, result, views.AS_OF, organisation).drop("jour")
 
 
+def q_changed_days(spark, sf):
+    """Days that a corrected directory changes: an office has another name, another is gone, some numbers have
+    moved. The index of all days is stored; no call is read for the answer."""
+    stages = Stages(spark)
+    old = stages.keep(_organisation(spark, sf), "organisation")
+    new = old.where(F.col("Code_UA") != "0021773").withColumn(
+        "Bureau", F.when(F.col("Code_UA") == "0011679", F.concat("Bureau", F.lit(" bis"))).otherwise(F.col("Bureau"))
+    )
+    users = views.users(spark, sf)
+    moved = users.withColumn("Cost Center", F.when(F.col("Internal Number").endswith("77"), "001 16 79").otherwise(F.col("Cost Center")))
+    tariffs = _tariff(spark, sf, stages=stages)
+    pairs = stages.keep(day_index(tariffs, F.substring("InitialStartDateTime", 1, 10)), "pairs")
+    write_index(pairs, stages.path("index"))
+    index = spark.read.schema("jour string, number string, code string").orc(stages.path("index"))
+    return changed_days(index, user_directory(users, old), user_directory(moved, new), old, new)
+
+
 def q_daily_run(spark, sf):
     """All stages over the derived day files, reported per day, office and outcome."""
     facts = day_facts(
@@ -548,7 +569,21 @@ _to_facts = [
     *_to_tariff, USERS_SQL, ORGANISATION_SQL, _organisation_sql(), USER_DIRECTORY, CROSS_REFERENCE,
 ]
 
+def _renamed(sql: str, names: dict[str, str]) -> str:
+    return re.sub(r"\b(" + "|".join(names) + r")\b", lambda m: names[m[0]], sql)
+
+
+# The whole facts under the corrected directory, beside those under the old one.
+_CORRECTED = [
+    """new_org AS (SELECT * REPLACE (CASE WHEN "Code_UA" = '0011679' THEN "Bureau" || ' bis' ELSE "Bureau" END AS "Bureau")
+  FROM org WHERE "Code_UA" <> '0021773')""",
+    """new_users AS (SELECT * REPLACE (CASE WHEN internal LIKE '%77' THEN '001 16 79' ELSE center END AS center) FROM users)""",
+    _renamed(USER_DIRECTORY, {"c7": "new_c7", "users": "new_users", "org": "new_org"}),
+    _renamed(CROSS_REFERENCE, {"c7": "new_c7", "org": "new_org", "x1": "new_x1", "x2": "new_x2", "x3": "new_x3", "c8": "new_c8"}),
+]
+
 QUERIES = {
+    "changed_days": q_changed_days,
     "ticket_prep": q_ticket_prep,
     "ticket_prep_v1": q_ticket_prep_v1,
     "ivr_prep": q_ivr_prep,
@@ -574,6 +609,12 @@ QUERIES = {
 _match_select = "SELECT " + ", ".join(f'"{_plain(c)}"' for c in MATCH_OUTPUT) + " FROM c3"
 
 SQL = {
+    "changed_days": with_views(
+        *_to_facts, *_CORRECTED,
+        select="""
+        SELECT DISTINCT substr("InitialStartDateTime", 1, 10) AS jour FROM (
+          (SELECT * FROM c8 EXCEPT ALL SELECT * FROM new_c8) UNION ALL (SELECT * FROM new_c8 EXCEPT ALL SELECT * FROM c8))""",
+    ),
     "ticket_prep": with_views(BASE_SQL, TICKETS_SQL, PREP_V2, select="SELECT * FROM c1"),
     "ticket_prep_v1": with_views(BASE_SQL, TICKETS_SQL, PREP_V1, select="SELECT * FROM c1"),
     "ivr_prep": with_views(BASE_SQL, IVR_SQL, IVR_PREP, select="SELECT * FROM c2"),
