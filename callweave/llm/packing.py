@@ -6,7 +6,9 @@ done on that histogram, which has at most ``capacity`` rows at any scale: bins w
 content are one entry with a count. Best fit, longest first, fills the bins. The local search
 then takes the emptiest bins and moves their pieces to fuller ones, or exchanges a piece of
 theirs for a shorter one or for two pieces that are shorter together, while the sum of squared
-fills grows; a bin that becomes empty is saved.
+fills grows; a bin that becomes empty is saved. An exchange is looked up in an index of the lengths (and sums of two
+lengths) that bins with so many free tokens have, so a step takes the same time at any scale, and the search ends where
+a lower bound proves that no bin can be saved.
 
 Each piece finds its place by its rank among the pieces of its length: tasks number the pieces
 of a length that they write, counts by task and length give the ranks where they begin, and
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -63,33 +66,107 @@ def best_fit(histogram: dict[int, int], capacity: int) -> dict[int, Counter]:
     return free
 
 
-def _exchange(victim: tuple[int, ...], free: dict[int, Counter], capacity: int):
-    """The best exchange for a bin: (gain, free of the other, content of the other, what the
-    victim gives, what it gets)."""
-    own = capacity - sum(victim)
-    gives = {(x,) for x in victim} | {(x, y) for i, x in enumerate(victim) for y in victim[:i]}
-    best = None
-    for room in sorted(free):
-        if not 0 < room <= own:
-            continue
-        for content, bins in free[room].items():
-            if content == victim and bins < 2:
-                continue
-            for give in gives:
-                total = sum(give)
-                options = [()] if len(give) == 1 else []
-                options += [(x,) for x in set(content)]
-                if len(give) == 1:
-                    options += [(x, y) for i, x in enumerate(content) for y in content[:i]]
-                for get in options:
-                    gain = total - sum(get)
-                    if 0 < gain <= room and (best is None or gain > best[0]):
-                        best = (gain, room, content, give, get)
-        if best and best[0] == best[1]:
-            break
+def least_bins(histogram: dict[int, int], capacity: int) -> int:
+    """A lower bound of the bins: for every k, pieces longer than ``capacity`` - k stand alone with regard to
+    pieces of k or more, those above half a bin need one each, and what the latter leave free is filled first."""
+    count = np.zeros(capacity + 1, dtype=object)
+    for length, n in histogram.items():
+        count[length] = n
+    pieces, tokens = np.cumsum(count), np.cumsum(count * np.arange(capacity + 1))
+    half = capacity // 2
+    best = -(-int(tokens[-1]) // capacity)
+    for k in range(half + 1):
+        alone, large = pieces[-1] - pieces[capacity - k], pieces[capacity - k] - pieces[half]
+        room = large * capacity - (tokens[capacity - k] - tokens[half])
+        rest = tokens[half] - (tokens[k - 1] if k else 0) - room
+        best = max(best, int(alone + large + max(0, -(-rest // capacity))))
     return best
 
 
+class OpenBins:
+    """The bins with free tokens, and for each number of free tokens the lengths, and the sums of two lengths,
+    that some bin with so many has: row r of ``above[k]`` holds at x the least such number from x on."""
+
+    def __init__(self, free: dict[int, Counter], capacity: int):
+        self.capacity, self.bins = capacity, defaultdict(Counter)
+        self.count = [np.zeros((capacity + 1, capacity + 2), np.int32) for _ in range(2)]
+        self.above = [np.full((capacity + 1, capacity + 2), capacity + 1, np.int32) for _ in range(2)]
+        for room, contents in free.items():
+            for content, times in contents.items():
+                self.add(room, content, times, renew=False)
+        for room in self.bins:
+            self.renew(room)
+
+    @staticmethod
+    def sums(content: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct lengths, and the distinct sums of two pieces."""
+        own, times = np.unique(content, return_counts=True)
+        i, j = np.triu_indices(len(own))
+        return own, np.unique((own[i] + own[j])[(i != j) | (times[i] > 1)])
+
+    def renew(self, room: int) -> None:
+        for count, above in zip(self.count, self.above):
+            here = np.where(count[room] > 0, np.arange(self.capacity + 2), self.capacity + 1)
+            above[room] = np.minimum.accumulate(here[::-1])[::-1]
+
+    def add(self, room: int, content: tuple[int, ...], times: int, renew: bool = True) -> None:
+        """Add ``times`` bins of this content, or take away as many if negative."""
+        before = self.bins[room][content]
+        self.bins[room][content] += times
+        if not before + times:
+            del self.bins[room][content]
+        if room and bool(before) != bool(before + times):
+            for count, sums in zip(self.count, self.sums(content)):
+                count[room][sums] += 1 if times > 0 else -1
+            if renew:
+                self.renew(room)
+
+    def exchange(self, victim: tuple[int, ...]):
+        """The exchange that takes most from a bin of this content: (tokens, free of the other, content of the
+        other, what the victim gives, what it gets). Each is looked up by what it wants: with r free tokens,
+        a bin takes t for the least number it has from t - r on."""
+        own = self.capacity - sum(victim)
+        rooms = np.array([r for r in sorted(self.bins) if 0 < r <= own and self.bins[r]], dtype=np.int64)
+        if not len(rooms):
+            return None
+        ones, twos = self.sums(victim)
+        best = (0,)
+        for gives, kinds in ((ones, (None, 0, 1)), (twos, (0,))):
+            for kind in kinds:
+                if not len(gives):
+                    continue
+                wanted = np.maximum(gives[:, None] - rooms, 0)
+                got = np.zeros_like(wanted) if kind is None else self.above[kind][rooms, wanted]
+                gain = gives[:, None] - got
+                gain[(gain > rooms) | (gain < 0)] = 0
+                at = int(np.argmax(gain))
+                if gain.flat[at] > best[0]:
+                    g, r = divmod(at, len(rooms))
+                    best = (int(gain.flat[at]), int(rooms[r]), int(gives[g]), gives is twos, kind, int(got.flat[at]))
+        if not best[0]:
+            return None
+        gain, room, total, pair, kind, got = best
+        give = _parts(victim, total, 2 if pair else 1)
+        if kind is None:
+            return gain, room, next(iter(self.bins[room])), give, ()
+        for content in self.bins[room]:
+            get = _parts(content, got, kind + 1)
+            if get:
+                return gain, room, content, give, get
+        raise AssertionError("the index names a bin that is not there")
+
+
+def _parts(content: tuple[int, ...], total: int, n: int) -> tuple[int, ...]:
+    """One or two pieces of a bin with this sum; none if it has no such pieces."""
+    if n == 1:
+        return (total,) if total in content else ()
+    held = Counter(content)
+    for x in held:
+        if held[total - x] > (2 * x == total):
+            return x, total - x
+    return ()
+
+
 def _without(content: tuple[int, ...], out: tuple[int, ...], into: tuple[int, ...]) -> tuple[int, ...]:
     left = list(content)
     for x in out:
@@ -98,50 +175,65 @@ def _without(content: tuple[int, ...], out: tuple[int, ...], into: tuple[int, ..
 
 
 def local_search(free: dict[int, Counter], capacity: int, steps: int = SEARCH_STEPS) -> dict[int, Counter]:
-    """Empty the emptiest bins as far as exchanges with fuller ones go."""
-    free = defaultdict(Counter, {r: Counter(c) for r, c in free.items() if c})
-    total = sum((capacity - r) * sum(c.values()) for r, c in free.items())
-    least, stuck = -(-total // capacity), set()
+    """Empty the emptiest bins as far as exchanges with fuller ones go, or until the bins are proven few enough."""
+    histogram, n_bins = Counter(), 0
+    for contents in free.values():
+        for content, times in contents.items():
+            n_bins += times
+            for x in content:
+                histogram[x] += times
+    least, stuck = least_bins(histogram, capacity), set()
+    if n_bins <= least:
+        return free
+    bins = OpenBins(free, capacity)
     for _ in range(steps):
-        if sum(sum(c.values()) for c in free.values()) <= least:
+        victim = next((c for r in range(capacity, 0, -1) for c in bins.bins.get(r, ()) if c not in stuck), None)
+        if victim is None or n_bins <= least:
             break
-        open_bins = [(r, c) for r in sorted(free, reverse=True) if r > 0 for c in free[r] if c not in stuck]
-        if not open_bins:
-            break
-        room, victim = open_bins[0]
-        best = _exchange(victim, free, capacity)
+        room = capacity - sum(victim)
+        alone = bins.bins[room][victim] == 1
+        if alone:  # it must not meet itself
+            bins.add(room, victim, -1)
+        best = bins.exchange(victim)
+        if alone:
+            bins.add(room, victim, 1)
         if best is None:
             stuck.add(victim)
             continue
         gain, other_room, other, give, get = best
-        times = min(free[room][victim], free[other_room][other])
+        times = min(bins.bins[room][victim], bins.bins[other_room][other])
         if victim == other:
-            times = free[room][victim] // 2
-        for r, c in ((room, victim), (other_room, other)):
-            free[r][c] -= times
-            if not free[r][c]:
-                del free[r][c]
+            times = bins.bins[room][victim] // 2
+        bins.add(room, victim, -times)
+        bins.add(other_room, other, -times)
         smaller, fuller = _without(victim, give, get), _without(other, get, give)
         if smaller:
-            free[room + gain][smaller] += times
-        free[other_room - gain][fuller] += times
-    return free
+            bins.add(room + gain, smaller, times)
+        else:
+            n_bins -= times
+        bins.add(other_room - gain, fuller, times)
+    return bins.bins
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> dict[str, np.ndarray]:
     """Slots by length and first rank: ranks [first, ...) of a length go to bins ``sequence``,
-    ``sequence + 1``, ... (``bins`` of them) at ``offset``."""
+    ``sequence + 1``, ..., ``each`` of them to a bin, from ``offset`` on.
+
+    Their number has a bound that no input moves: best fit ends a length or a kind of bin with each entry it
+    makes, so it makes at most four for each length; an exchange adds two; a kind of bin has at most 63 different
+    lengths. With the capacity and steps above that is below 900,000 slots, or 36 MB."""
     free = local_search(best_fit(histogram, capacity), capacity)
     used, rows, sequence = Counter(), [], 0
     for room in sorted(free):
         for content, bins in sorted(free[room].items()):
             offset = 0
-            for length in content:
-                rows.append((length, used[length], sequence, offset))
-                used[length] += bins
-                offset += length
+            for length, same in groupby(content):
+                each = len(list(same))
+                rows.append((length, used[length], sequence, offset, each))
+                used[length] += bins * each
+                offset += length * each
             sequence += bins
-    names = ("length", "first", "sequence", "offset")
+    names = ("length", "first", "sequence", "offset", "each")
     rows.sort()
     return {n: np.array([r[i] for r in rows], dtype=np.int64) for i, n in enumerate(names)} | {"bins": sequence}
 
@@ -206,8 +298,9 @@ def packed(docs: DataFrame, tokenizer_file: str, text: str = "text", carry: list
         for batch in batches:
             wanted = batch.column("length").to_numpy() << 48 | batch.column("rank").to_numpy()
             at = np.searchsorted(key, wanted, side="right") - 1
-            sequence = slots["sequence"][at] + (batch.column("rank").to_numpy() - slots["first"][at])
-            arrays = [batch.column(n) for n in names] + [pa.array(sequence), pa.array(slots["offset"][at])]
+            bin_of, nth = np.divmod(batch.column("rank").to_numpy() - slots["first"][at], slots["each"][at])
+            offset = slots["offset"][at] + nth * slots["length"][at]
+            arrays = [batch.column(n) for n in names] + [pa.array(slots["sequence"][at] + bin_of), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, "sequence_id", "offset"])
 
     return ranked.select(*names, "rank").mapInArrow(

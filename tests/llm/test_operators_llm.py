@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -249,6 +250,81 @@ def test_local_search_empties_a_bin():
     assert sum(sum(c.values()) for c in packing.local_search(free, 100).values()) <= 3
 
 
+def bins_of(free):
+    return sum(sum(c.values()) for c in free.values())
+
+
+def fewest_bins(pieces, capacity):
+    """The least number of bins, by trying every bin for every piece."""
+    best = len(pieces)
+
+    def place(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(pieces):
+            best = len(rooms)
+            return
+        for i, room in enumerate(rooms):
+            if pieces[at] <= room and room not in rooms[:i]:
+                place(at + 1, rooms[:i] + [room - pieces[at]] + rooms[i + 1 :])
+        place(at + 1, rooms + [capacity - pieces[at]])
+
+    place(0, [])
+    return best
+
+
+def test_bins_are_between_the_fewest_and_best_fit():
+    rng, met = random.Random(5), 0
+    for _ in range(150):
+        pieces = sorted((rng.randint(3, 28) for _ in range(rng.randint(1, 11))), reverse=True)
+        histogram = dict(Counter(pieces))
+        first = packing.best_fit(histogram, 40)
+        found, fewest = bins_of(packing.local_search(first, 40)), fewest_bins(pieces, 40)
+        assert packing.least_bins(histogram, 40) <= fewest <= found <= bins_of(first)
+        met += found == fewest
+    assert met >= 145
+
+
+def test_an_exchange_is_the_best_of_all():
+    """The index finds an exchange that takes as much as the best one found by trying all."""
+    rng = random.Random(6)
+    for _ in range(200):
+        free = {}
+        for _ in range(rng.randint(2, 8)):
+            content = tuple(sorted((rng.randint(1, 20) for _ in range(rng.randint(1, 4))), reverse=True))
+            if sum(content) <= 50:
+                free.setdefault(50 - sum(content), Counter())[content] += 2
+        room = max(free, default=0)
+        if not room:
+            continue
+        victim = next(iter(free[room]))
+        gives = [(x,) for x in victim] + [(x, y) for i, x in enumerate(victim) for y in victim[:i]]
+        best = 0
+        for r, contents in free.items():
+            for content in contents:
+                for give in gives:
+                    gets = [(x,) for x in content] + ([(), *((x, y) for i, x in enumerate(content) for y in content[:i])] if len(give) == 1 else [])
+                    best = max([best, *(g for get in gets if 0 < (g := sum(give) - sum(get)) <= r <= room)])
+        got = packing.OpenBins(free, 50).exchange(victim)
+        assert (got[0] if got else 0) == best
+        if got:
+            gain, r, content, give, get = got
+            assert gain == sum(give) - sum(get) <= r and content in free[r]
+            assert not Counter(give) - Counter(victim) and not Counter(get) - Counter(content)
+
+
+def test_plan_takes_seconds_at_any_scale():
+    lengths = np.random.default_rng(3).lognormal(6, 1.1, 200_000).astype(int) % 2048 + 1
+    shape = Counter(lengths.tolist())
+    for times in (5, 500, 50_000):  # a million to 10^10 pieces
+        histogram = {x: n * times + x % times for x, n in shape.items()}
+        first = bins_of(packing.best_fit(histogram, 2048))
+        began = time.process_time()
+        slots = packing.plan(histogram)
+        assert time.process_time() - began < 40 and slots["bins"] <= first and len(slots["length"]) < 900_000
+
+
 def test_plain_personal_data_equals_the_patterns():
     rng = random.Random(1)
     parts = [*"ab@@..-+ 01239()%_é", "@a.b", "4111 1111 1111 1111", "+1 (415) 555-0100", "10.0.0.1", "255.", ".1"]
