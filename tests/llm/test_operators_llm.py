@@ -5,6 +5,7 @@ import random
 import time
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import brute
 import numpy as np
@@ -429,10 +430,63 @@ def test_mined_rules_block_what_labels_say(spark):
     labels = spark.createDataFrame([(i, i % 3 == 0 and i % 2 == 1) for i in range(200)], "doc_id long, block boolean")
     got = url_rules.judged(pages, labels, []).select("row.page_id", "verdict").collect()
     assert all((r.verdict == "block") == (r.page_id % 6 == 3) for r in got)
-    mined = url_rules.mined_rules(url_rules.with_address(pages).select("row.page_id", "tokens").join(labels.withColumnRenamed("doc_id", "page_id"), "page_id"))
+    labelled = url_rules.with_address(pages).select("row.page_id", "tokens").join(labels.withColumnRenamed("doc_id", "page_id"), "page_id")
+    mined = url_rules.mined_rules(labelled, url_rules.rule_items(labelled))
     assert mined.count() and all(r.confidence >= url_rules.CONFIDENCE for r in mined.collect())
 
 
+def test_every_place_of_a_url_is_a_token(spark):
+    url = "HTTPS://www.Cheap-Pills.shop.example.com/en/12/deep/Buy_now.html?page=2&ref=x;q#top9"
+    assert url_rules.with_address(spark.createDataFrame([(url,)], "url string")).first().tokens == sorted([
+        "scheme=https", *(f"label={x}" for x in ("www", "cheap-pills", "shop", "example", "com")),
+        *(f"folder={x}" for x in ("en", "#", "deep", "Buy_now.html")), *(f"word={x}" for x in ("cheap", "pills", "Buy", "now", "html")),
+        "key=page", "key=ref", "key=q", "field=page=#", "field=ref=x", "extension=html", "fragment=top#",
+    ])
+
+
+@pytest.mark.parametrize("cause", ["pills.", "/c/b/a/", "q=1&z=2"])
+def test_mined_rules_see_all_places(spark, cause):
+    """Labels that depend on a middle host label, a third directory and a second query key."""
+    rng = random.Random(cause)
+    rows = []
+    for i in range(600):
+        bad = rng.random() < 0.3
+        host = f"{rng.choice('mw')}.{'pills' if bad and 'pills' in cause else rng.choice(['news', 'blog'])}.example.net"
+        path = "/c/b/a/" if bad and "/" in cause else "/c/b/" + rng.choice("de")
+        rows.append((i, f"http://{host}{path}?q={i}" + ("&z=2" if bad and "z" in cause else rng.choice(["", "&y=1"])), bad))
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    labels = pages.where("page_id % 2 = 0").selectExpr("page_id as doc_id", "bad as block")
+    got = url_rules.judged(pages, labels, []).select("row.bad", "verdict").collect()
+    assert {(r.bad, r.verdict) for r in got} == {(True, "block"), (False, "allow")}
+
+
+def test_mined_verdicts_are_those_of_all_rules(spark):
+    """Every set of tokens is tried as a rule in plain Python; labels are noisy, so few are certain."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        site = rng.choice(["a.x", "b.x", "b.y"])
+        rows.append((i, f"http://{site}/{rng.choice(['p', 'q', 'r-s', ''])}" + rng.choice(["", "?k=1", "?k=v", "#f"])))
+    rows += [(400, None), (401, "no address"), (402, "http://new.z/p")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    chance = lambda u: 0.9 if "b." in u and "r-s" in u else 0.6 if "?k=v" in u else 0.1
+    marks = [(i, rng.random() < chance(u)) for i, u in rows[:300]]
+    tokens = {r.page_id: r.tokens for r in url_rules.with_address(pages).select("row.page_id", "tokens").collect()}
+    n, blocked = Counter(), Counter()
+    for i, block in marks:
+        for k in range(1, len(tokens[i]) + 1):
+            for some in combinations(tokens[i], k):
+                n[some] += 1
+                blocked[some] += block
+    sure = {some: blocked[some] / n[some] for some in n if blocked[some] >= 20 and blocked[some] / n[some] >= 0.5}
+    got = url_rules.judged(pages, spark.createDataFrame(marks, "doc_id long, block boolean"), []).select("row.page_id", "verdict", "confidence").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        best = max((c for some, c in sure.items() if set(some) <= set(tokens[r.page_id])), default=None)
+        assert r.verdict == ("block" if best else "allow") and (r.confidence or 0) == pytest.approx(best or 0)
+    assert {r.verdict for r in got} == {"allow", "block"}
+
+
 def test_perplexity_equals_plain_kneser_ney(spark, documents, hard):
     docs = both(spark, documents, hard).withColumn("lang", F.when(F.col("doc_id") > 5, "xx"))
     labels = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1 and toxic = 0")
