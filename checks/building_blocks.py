@@ -17,6 +17,7 @@ from callweave.functions import (
 from callweave.operators import (
     anti_join,
     changed_rows,
+    changed_rows_ranged,
     dedup_on,
     dial_code_lookup,
     diff_by_column,
@@ -37,6 +38,7 @@ from callweave.operators import (
     require_columns,
     require_parents,
     require_schema,
+    store_ranged,
     tolerance_join,
     top_order,
     union_aligned,
@@ -583,6 +585,31 @@ def dataset_diff_by_column(spark, sf):
     return diff_by_column(*_two_versions(spark, sf), id_column="o_orderkey")
 
 
+_CORRECTED_SQL = """
+last AS (SELECT max(o_orderkey) AS k FROM orders),
+l AS (SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders),
+r AS (SELECT o_orderkey, o_custkey, o_orderdate,
+        CASE WHEN o_orderkey BETWEEN k // 2 AND k // 2 + k // 50 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+      FROM orders, last WHERE o_orderkey <= k - k // 200)"""
+
+
+@query(with_views(_CORRECTED_SQL, select="""
+SELECT *, 'left' AS side FROM (SELECT * FROM l EXCEPT SELECT * FROM r)
+UNION ALL SELECT *, 'right' FROM (SELECT * FROM r EXCEPT SELECT * FROM l)"""))
+def dataset_diff_by_range(spark, sf):
+    """A correction of one block of numbers and a missing end, found from the digests of key ranges."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    last = orders.agg(F.max("o_orderkey")).first()[0] or 0
+    block = F.col("o_orderkey").between(last // 2, last // 2 + last // 50)
+    corrected = orders.where(F.col("o_orderkey") <= last - last // 200).withColumn(
+        "o_totalprice", F.when(block, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    )
+    stages = Stages(spark)
+    store_ranged(orders, stages.path("left"), "o_orderkey", ranges=100)
+    store_ranged(corrected, stages.path("right"), "o_orderkey", like=stages.path("left"))
+    return changed_rows_ranged(spark, stages.path("left"), stages.path("right"))
+
+
 @query("""
 SELECT event_id, CAST(value AS DOUBLE) AS amount, strftime(ts, '%Y-%m-%d %H:%M') AS minute_text,
   replace(props, '"', '') AS props FROM events WHERE event_type <> 'view'""")
