@@ -493,16 +493,17 @@ def test_perplexity_equals_plain_kneser_ney(spark, documents, hard):
     got = kneser_ney.classified(docs, labels)
     rows = got.join(docs.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id").collect()
     trusted = {r.doc_id for r in labels.collect()}
-    symbols = lambda t: [kneser_ney.LINE] * 3 + [int(kneser_ney.CLASSES[b]) for b in (t or "").encode()]
-    counts = {4: Counter()}
+    size = kneser_ney.ORDER
+    symbols = lambda t: [kneser_ney.LINE] * (size - 1) + list((t or "").encode())
+    grams = lambda z: [tuple(z[j : j + size]) for j in range(len(z) - size + 1)]
+    counts = {size: Counter()}
     for i, t in docs.select("doc_id", "text").collect():
         if i in trusted:
-            z = symbols(t)
-            counts[4].update(tuple(z[j - 3 : j + 1]) for j in range(3, len(z)))
-    for k in (3, 2, 1):
+            counts[size].update(grams(symbols(t)))
+    for k in range(size - 1, 0, -1):
         counts[k] = Counter(g[1:] for g in counts[k + 1])
-    taken, context = {}, {k: {} for k in range(1, 5)}
-    for k in range(1, 5):
+    taken, context = {}, {k: {} for k in counts}
+    for k in range(1, size + 1):
         n = [sum(v == i for v in counts[k].values()) for i in (1, 2, 3, 4)]
         y = n[0] / (n[0] + 2 * n[1]) if n[0] + 2 * n[1] else 0.5
         d = [i - (i + 1) * y * b / a if a else 0.5 * i for i, (a, b) in enumerate(zip(n, n[1:]), 1)]
@@ -513,8 +514,8 @@ def test_perplexity_equals_plain_kneser_ney(spark, documents, hard):
 
     def probability(gram):
         p = 1 / kneser_ney.SYMBOLS
-        for k in range(1, 5):
-            g = gram[4 - k :]
+        for k in range(1, size + 1):
+            g = gram[size - k :]
             if g[:-1] in context[k]:
                 (total, left), v = context[k][g[:-1]], counts[k].get(g, 0)
                 p = ((v - taken[k][min(v, 3) - 1] if v else 0) + left * p) / total
@@ -522,16 +523,34 @@ def test_perplexity_equals_plain_kneser_ney(spark, documents, hard):
 
     checked = 0
     for r in sorted(rows, key=lambda r: r.doc_id)[:60]:
-        z = symbols(r.text)
-        if len(z) == 3:
+        events = grams(symbols(r.text))
+        if not events:
             assert r.perplexity is None and not r.kept
-        elif len(z) < 5000:
-            want = np.exp(-np.mean([np.log(probability(tuple(z[j - 3 : j + 1]))) for j in range(3, len(z))]))
+        elif len(events) < 5000:
+            want = np.exp(-np.mean([np.log(probability(g)) for g in events]))
             assert abs(want - r.perplexity) < 1e-3 * want
             checked += 1
     assert checked > 30
 
 
+def test_events_and_tallies_of_any_texts():
+    texts = ["", "a", "no", "\n\n", "ünï", "x" * 40]
+    want = []
+    for t in texts:
+        raw = b"\n" * (kneser_ney.ORDER - 1) + t.encode()
+        want += [int.from_bytes(raw[j : j + kneser_ney.ORDER]) for j in range(len(t.encode()))]
+    code, at = kneser_ney.events(pa.array(texts))
+    assert code.tolist() == want and at.tolist()[-1] == len(want)
+    assert kneser_ney.events(pa.array([], pa.string()))[0].tolist() == []
+    tally = kneser_ney.Tally()
+    assert list(tally.sent()) == []
+    for _ in range(3):
+        tally.add(code)
+        tally.settle()
+    (batch,) = tally.sent()
+    assert dict(zip(*(c.to_pylist() for c in batch.columns))) == {e: 3 * n for e, n in Counter(want).items()}
+
+
 def test_perplexity_tells_labels_apart(spark):
     sf = "/root/testdata/sf0.01"
     rows = queries.op1_kneser_ney(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
