@@ -37,6 +37,8 @@ from callweave.llm.tokens import ENCODED_BYTES, Encoder
 MAGIC = b"CWTOKEN1"
 FOOTER = "<8q"
 SAMPLE = 256
+#: Documents whose boundaries a reader selects at a time.
+READ_DOCS = 4096
 #: Tokens after which a task begins a new shard; a document is never cut.
 SHARD_TOKENS = 16 << 20
 #: Text for one task.
@@ -85,11 +87,22 @@ class EliasFano:
         raw = int.from_bytes(self.lower[begin >> 3 : (begin + self.low + 7) >> 3].tobytes(), "little")
         return high << self.low | (raw >> (begin & 7)) & ((1 << self.low) - 1)
 
-    def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.upper, bitorder="little"))[: self.n]
-        values = (ones - np.arange(self.n)) << self.low
+    def run(self, a: int, b: int) -> np.ndarray:
+        """The numbers from the a-th to before the b-th, by one select for all: bits are read from the sample
+        before the first to the one after the last, and no number outside is decoded."""
+        if a >= b:
+            return np.zeros(0, np.int64)
+        first, after = a // SAMPLE, (b - 1) // SAMPLE + 1
+        begin = int(self.samples[first])
+        end = int(self.samples[after]) if after < len(self.samples) else 8 * len(self.upper)
+        bits = np.unpackbits(self.upper[begin >> 3 : (end + 7) >> 3], bitorder="little")
+        bits[: begin & 7] = 0
+        ones = np.flatnonzero(bits)[a - first * SAMPLE : b - first * SAMPLE] + (begin & ~7)
+        values = (ones - np.arange(a, b)) << self.low
         if self.low:
-            bits = np.unpackbits(self.lower, bitorder="little")[: self.n * self.low].reshape(self.n, self.low)
+            at = a * self.low
+            bits = np.unpackbits(self.lower[at >> 3 : (b * self.low + 7) >> 3], bitorder="little")
+            bits = bits[at & 7 :][: (b - a) * self.low].reshape(b - a, self.low)
             values |= bits.astype(np.int64) @ (np.int64(1) << np.arange(self.low))
         return values
 
@@ -136,8 +149,10 @@ class ShardReader:
         self.boundaries = EliasFano(data[at : at + a])
         self.names = EliasFano(data[at + a : at + a + b])
 
-    def ids(self) -> list:
-        return [None] * self.n_null + (self.names.all() + self.base).tolist()
+    def ids(self, a: int, b: int) -> list:
+        """Ids of the documents a to b - 1; those without one come first."""
+        known = self.names.run(max(a - self.n_null, 0), max(b - self.n_null, 0))
+        return [None] * (b - a - len(known)) + (known + self.base).tolist()
 
     def document(self, i: int) -> np.ndarray:
         """Tokens of the i-th document, from two selects."""
@@ -207,17 +222,17 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = False) -> Dat
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = ShardReader(batch.column("content")[i].as_buffer())
-                at, ids = shard.boundaries.all(), shard.ids()
-                for a in range(0, shard.n, 20_000):
-                    b = min(a + 20_000, shard.n)
-                    tokens = shard.tokens[at[a] : at[b]].astype("<u4")
-                    view, cuts = memoryview(tokens).cast("B"), (at[a : b + 1] - at[a]).tolist()
+                for a in range(0, shard.n, READ_DOCS):
+                    b = min(a + READ_DOCS, shard.n)
+                    at = shard.boundaries.run(a, b + 1)
+                    tokens = shard.tokens[at[0] : at[-1]].astype("<u4")
+                    view, cuts = memoryview(tokens).cast("B"), (at - at[0]).tolist()
                     crc = [zlib.crc32(view[4 * x : 4 * y]) for x, y in zip(cuts, cuts[1:])]
                     arrays = [
                         pa.array(np.arange(a, b) + batch.column("docs_before")[i].as_py()),
-                        pa.array(ids[a:b], pa.int64()),
-                        pa.array(at[a:b] + batch.column("tokens_before")[i].as_py()),
-                        pa.array(np.diff(at[a : b + 1])), pa.array(crc, pa.int64()),
+                        pa.array(shard.ids(a, b), pa.int64()),
+                        pa.array(at[:-1] + batch.column("tokens_before")[i].as_py()),
+                        pa.array(np.diff(at)), pa.array(crc, pa.int64()),
                     ]
                     if with_ids:
                         arrays.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(tokens.view("<i4"))))

@@ -5,7 +5,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from callweave.llm import common, suffix_dedup
+from callweave.llm import common, kneser_ney, suffix_dedup
 
 
 def test_a_missing_folder_of_numbers_fails_the_job(spark):
@@ -31,3 +31,9 @@ def test_missing_answers_of_suffixes_are_an_error(tmp_path):
     with pytest.raises(FileNotFoundError):
         suffix_dedup.Answers(str(tmp_path / "nowhere")).of(0, 0)
     assert suffix_dedup.Answers(str(tmp_path)).of(0, 0) == []
+
+
+def test_missing_answers_of_a_part_are_an_error(tmp_path):
+    with pytest.raises(FileNotFoundError):
+        kneser_ney._answers(str(tmp_path / "nowhere" / "part=0"))
+    assert len(kneser_ney._answers(str(tmp_path / "part=0"))[0]) == 0

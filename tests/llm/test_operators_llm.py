@@ -179,7 +179,11 @@ def test_elias_fano(n, top):
     values = np.sort(np.array([random.Random(n + i).randint(0, top) for i in range(n)], dtype=np.int64))
     packed = token_files.ef_encode(values, top)
     read = token_files.EliasFano(memoryview(packed))
-    assert read.all().tolist() == values.tolist() == [read.select(i) for i in range(n)]
+    assert read.run(0, n).tolist() == values.tolist() == [read.select(i) for i in range(n)]
+    some = random.Random(n)
+    for _ in range(20):
+        a, b = sorted(some.choices(range(n + 1), k=2))
+        assert read.run(a, b).tolist() == values[a:b].tolist()
     assert n < 700 or len(packed) < 0.7 * 8 * n
 
 
