@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from callweave.llm.common import one_array, slices, stages, text_column
-from callweave.llm.tokens import ENCODED_BYTES, Encoder
+from callweave.llm.tokens import Encoder
 
 MAGIC = b"CWTOKEN1"
 FOOTER = "<8q"
@@ -41,6 +41,8 @@ SAMPLE = 256
 READ_DOCS = 4096
 #: Tokens after which a task begins a new shard; a document is never cut.
 SHARD_TOKENS = 16 << 20
+#: Bytes of text that a writing task encodes at a time, less than elsewhere since it also holds a shard's list.
+WRITE_BYTES = 3 << 19
 #: Text for one task.
 TASK_BYTES = 64 << 20
 
@@ -173,7 +175,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_file: str, doc_id: str
     def write(batches):
         encoder, part, shard, done = Encoder.of_worker(tokenizer_file), TaskContext.get().partitionId(), None, []
         width = 2 if encoder.library.get_vocab_size() <= 1 << 16 else 4
-        for batch in slices(batches, limit=ENCODED_BYTES):
+        for batch in slices(batches, limit=WRITE_BYTES):
             if shard is None:
                 name = f"{part:08d}-{len(done):06d}-{uuid.uuid4().hex}.tokens"
                 shard = Shard(home, name, width)
