@@ -537,6 +537,20 @@ def test_perplexity_equals_plain_kneser_ney(spark, documents, hard):
     assert checked > 30
 
 
+def test_perplexity_of_texts_without_bytes_and_of_clashing_columns(spark):
+    rows = [(1, None, "a", 1), (2, "", "b", 2), (2, "", "b", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, number long")
+    got = kneser_ney.classified(docs, docs).collect()
+    assert [(r.n_bytes, r.perplexity, r.kept) for r in got] == [(0, None, False)] * 3
+    docs = docs.union(spark.createDataFrame([(3, "good words", None, 3)] * 2, docs.schema)).withColumnRenamed("lang", "event")
+    docs = docs.withColumn("part", F.lit("x")).withColumn("row", F.lit(None).cast("int"))
+    scored = kneser_ney.scored(docs, docs.where("false")).select("row.*", "n_bytes", "perplexity").collect()
+    assert sorted(r.n_bytes for r in scored) == [0, 0, 0, 10, 10] and scored[0].part == "x"
+    assert {round(r.perplexity, 3) for r in scored if r.n_bytes} == {256.0}
+    judged = kneser_ney.classified(docs, docs.where("doc_id = 3"), lang="event").where("doc_id = 3").collect()
+    assert len(judged) == 2 and all(r.kept and r.perplexity == r.threshold for r in judged)
+
+
 def test_events_and_tallies_of_any_texts():
     texts = ["", "a", "no", "\n\n", "ünï", "x" * 40]
     want = []
