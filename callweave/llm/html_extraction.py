@@ -13,17 +13,20 @@ A node with k children has the composite importance (1 - 0.9^k) presentation + 0
 goes if its own importance or its node's is below ``THRESHOLD``. Nodes of fewer than ``LEAST_PAGES`` pages
 are too rare to tell and stay.
 
-What a page declares goes before the tree, as a prior that entropy cannot outweigh: words of adverts
-and menus may differ on every page, as those of articles do, and a paragraph of an article may stand on many pages.
-So runs in menus, headers, footers, sidebars, forms, notices, adverts and comments (by element, role,
-class or id) have no importance, and if what is left of a page has an article or main element, that is the text.
-The tree decides on the runs of all other pages.
+The tree decides on the runs of every page. An article or main element that a page declares says where its text is:
+runs outside go, and inside a run goes only with its node, since a paragraph of an article may stand on many pages,
+while a node that says the same on all of them (a request to subscribe under each article) is no part of it.
+Equal articles of a host count once, whatever stands around them.
+
+Words of adverts and menus may differ on every page, as those of articles do, and their importance is then as high. So what
+a page declares is checked as well: runs in menus, headers, footers, sidebars, forms, notices, adverts and comments (by
+element, role, class or id) count in the tree, but never stay.
 
 Hot hosts: what is counted is keyed by host, node and run, summed before each shuffle. Only narrow
-rows are counted; texts are shuffled once, and only of pages on which the tree decides.
+rows are counted and looked up; texts are shuffled once, and only of pages that lose a run.
 
 A null page has no text, a null url has the host of the empty text. Repeated rows come out repeated;
-equal pages of a host count once in its tree. Tags that nobody closes end with the element around
+equal pages of a host count once in its tree, too. Tags that nobody closes end with the element around
 them. Pages of any length are parsed whole, one at a time. An empty table gives an empty one.
 """
 
@@ -36,7 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callweave.llm.common import one_array, stages, worker_cache
+from callweave.llm.common import chosen_rows, one_array, stages, worker_cache
 
 THRESHOLD, LEAST_PAGES, DECAY = 0.3, 3, 0.9
 
@@ -78,6 +81,8 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 WATCHED = re.compile(r"(?i)class|id|role|hidden|style|itemprop")
 
 NOISE, DECLARED, OPEN = 0, 1, 2
+#: In place of a run's hash: what counts is the importance of its node.
+BY_NODE = 0
 
 
 def _attributes(more: str) -> dict[str, str]:
@@ -220,8 +225,9 @@ def host_of(url: Column) -> Column:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """``row``, ``host`` and ``html`` in. Out: row, host, ``text`` of pages that declare theirs; ``runs``
-    of other pages; for the tree, ``content`` (a hash of all runs) and what the page has ``seen``."""
+    """``row``, ``host`` and ``html`` in. Out: row, host; the ``runs`` on which the tree decides, of an article if one is
+    declared (with feature 0: by the node alone); for the tree, ``content`` (a hash of the article's runs, or else of all) and
+    what the page has ``seen``."""
     row = pages.schema["row"]
     seen = pa.list_(pa.struct([("key", pa.int64()), ("kind", pa.int8()), ("feature", pa.int64()), ("children", pa.int32())]))
     runs = pa.list_(pa.struct([("key", pa.int64()), ("feature", pa.int64()), ("text", pa.string())]))
@@ -232,29 +238,29 @@ def parsed(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
-                texts, left, contents, noted = [], [], [], []
+                left, contents, noted = [], [], []
                 for source in one_array(part.column("html")):
                     page = Page(source.as_py() or "", kinds, keys)
                     hashed = [(key, _hash(text)) for key, text, _ in page.runs]
-                    said = [text for _, text, state in page.runs if state == DECLARED]
-                    texts.append(" ".join(said) if said else None)
-                    left.append([] if said else [
-                        {"key": k, "feature": f, "text": text}
-                        for (k, f), (_, text, state) in zip(hashed, page.runs) if state == OPEN
+                    article = any(state == DECLARED for _, _, state in page.runs)
+                    wanted = DECLARED if article else OPEN
+                    left.append([
+                        {"key": k, "feature": BY_NODE if article else f, "text": text}
+                        for (k, f), (_, text, state) in zip(hashed, page.runs) if state == wanted
                     ])
-                    contents.append(_hash(" ".join(map(str, hashed))))
+                    told = [h for h, (_, _, state) in zip(hashed, page.runs) if state == wanted or not article]
+                    contents.append(_hash(" ".join(map(str, told))))
                     everything = {(k, 0, 0, 0) for k, _, _ in page.nodes} | {(k, 1, style, n) for k, style, n in page.nodes}
                     everything |= {(k, 2, f, 0) for k, f in hashed}
                     noted.append([{"key": k, "kind": i, "feature": f, "children": n} for k, i, f, n in everything])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("host"), pa.array(texts, pa.string()), pa.array(left, runs), pa.array(contents, pa.int64()),
-                     pa.array(noted, seen)],
-                    names=["row", "host", "text", "runs", "content", "seen"],
+                    [part.column("row"), part.column("host"), pa.array(left, runs), pa.array(contents, pa.int64()), pa.array(noted, seen)],
+                    names=["row", "host", "runs", "content", "seen"],
                 )
 
     return pages.select("row", "host", "html").mapInArrow(
         parse,
-        f"row {row.dataType.simpleString()}, host string, text string, runs array<struct<key:bigint,feature:bigint,text:string>>, "
+        f"row {row.dataType.simpleString()}, host string, runs array<struct<key:bigint,feature:bigint,text:string>>, "
         "content long, seen array<struct<key:bigint,kind:tinyint,feature:bigint,children:int>>",
     )
 
@@ -293,11 +299,20 @@ def extracted(pages: DataFrame, html: str = "html", url: str = "url", carry: lis
     nodes, runs = style_trees(kept, known)
     own = F.lit(1.0) - F.ln("c") / F.ln("pages")
     low = runs.join(nodes, ["host", "key"]).where(F.least(own, "importance") < threshold).select("host", "key", "feature")
-    unsettled = known.where("text is null")
-    places = unsettled.select("number", "host", F.posexplode("runs").alias("place", "run"))
-    places = places.select("number", "place", "host", "run.key", "run.feature")
-    gone = places.join(low, ["host", "key", "feature"]).groupBy("number").agg(F.collect_set("place").alias("gone"))
-    texts = unsettled.select("row", "number", "runs").join(gone, "number", "left")
-    stay = F.filter("runs", lambda run, place: F.col("gone").isNull() | ~F.array_contains("gone", place))
-    by_tree = texts.select("row", F.array_join(F.transform(stay, lambda r: r["text"]), " ").alias("text"))
-    return known.where("text is not null").select("row", "text").unionByName(by_tree)
+    low = kept.keep(low.unionByName(nodes.where(F.col("importance") < threshold).select("host", "key", F.lit(BY_NODE).cast("long").alias("feature"))), "low")
+
+    def place(run: Column) -> Column:
+        return F.struct(run["key"].alias("key"), run["feature"].alias("feature"))
+
+    places = known.select("number", "host", F.explode(F.array_distinct(F.transform("runs", place))).alias("place"))
+    places = places.select("number", "host", "place.*")
+    gone = places.join(low, ["host", "key", "feature"]).groupBy("number").agg(F.collect_set(F.struct("key", "feature")).alias("gone"))
+    gone = kept.keep(gone, "gone")
+    # Pages that lose nothing are read where they lie.
+    wide = known.select(F.struct("row", "number", "runs").alias("row"), "number")
+    numbers, spark = gone.select("number"), pages.sparkSession
+    losing = chosen_rows(stages(spark), wide, numbers, True).select("row.*").join(gone, "number")
+    losing = losing.withColumn("runs", F.filter("runs", lambda run: ~F.array_contains("gone", place(run))))
+    whole = chosen_rows(stages(spark), wide, numbers, False).select("row.*")
+    left = whole.unionByName(losing.drop("gone"))
+    return left.select("row", F.array_join(F.transform("runs", lambda r: r["text"]), " ").alias("text"))

@@ -34,6 +34,18 @@ def test_tree_removes_what_the_pages_of_a_host_share(spark):
     assert got[99] == "Home About us Alone. Copyright of the site"
 
 
+def test_tree_decides_inside_declared_articles(spark):
+    """What every article of a host says at the same place goes; a paragraph that many articles have stays, as do equal articles."""
+    end = "<div class='end'><p>Write to the editor.</p></div>"
+    pages = [(i, "https://a.example/", f"<nav>M{i}</nav><article><h1>Title {i}</h1><p>Story {i}.</p><p>As ever.</p>{end}</article>") for i in range(9)]
+    pages += [(20 + i, "https://b.example/", f"<nav>M{i}</nav><article><h1>One</h1><p>Same story.</p></article>") for i in range(9)]
+    pages += [(40, "https://c.example/", f"<article><p>Alone.</p>{end}</article>")]
+    got = texts(spark, pages)
+    assert all(got[i] == f"Title {i} Story {i}. As ever." for i in range(9))
+    assert all(got[20 + i] == "One Same story." for i in range(9))
+    assert got[40] == "Alone. Write to the editor."
+
+
 def test_copies_of_a_page_do_not_make_its_text_common(spark):
     pages = [(i, "https://a.example/x", plain_page(0, "<p>The same story on many addresses.</p>")) for i in range(40)]
     pages += [(100 + i, f"https://a.example/{i}", plain_page(0, f"<p>Another story {i}.</p>")) for i in range(30)]
