@@ -63,6 +63,14 @@ def worker_cache() -> dict:
     return home.__dict__.setdefault("kept", {})
 
 
+def clear_worker_cache() -> None:
+    """Give back what an operator before has left in this Python worker: one pool of workers serves all stages."""
+    kept = worker_cache()
+    if kept:
+        kept.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def one_array(column) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 

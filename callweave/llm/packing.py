@@ -23,14 +23,16 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from callweave.llm.common import slices, stages, text_column
+from callweave.llm.common import clear_worker_cache, slices, stages, text_column
 from callweave.llm.tokens import ENCODED_BYTES, Encoder
 
 CAPACITY = 2048
@@ -248,7 +250,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, end_id: int, wit
     def cut(batches):
         encoder, part = Encoder.of_worker(tokenizer_file), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in slices(batches, limit=ENCODED_BYTES):
+        for batch in slices(batches, limit=ENCODED_BYTES // 2 if with_ids else ENCODED_BYTES):
             ids, at = encoder.encode(batch.column("text"))
             ids = np.insert(ids, at[1:], end_id).astype("<u4")  # the end id after each text
             at = at + np.arange(len(at))
@@ -290,19 +292,19 @@ def packed(docs: DataFrame, tokenizer_file: str, text: str = "text", carry: list
     bases = counts.select("length", "part", F.coalesce(before, F.lit(0)).alias("base"))
     ranked = table.join(bases, ["length", "part"]).withColumn("rank", F.col("base") + F.col("nth"))
     names = ["row", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
-    types = {f.name: f.dataType.simpleString() for f in table.schema}
 
-    def place(batches):
+    # Only lengths and ranks go to Python; rows and their ids stay where they are.
+    @F.pandas_udf("sequence_id long, offset long")
+    def place(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        if with_ids:  # beside them there is no room for what encoding keeps
+            clear_worker_cache()
         # Slots are sorted by length, then by first rank: the last one not beyond the rank.
         key = slots["length"] << 48 | slots["first"]
-        for batch in batches:
-            wanted = batch.column("length").to_numpy() << 48 | batch.column("rank").to_numpy()
-            at = np.searchsorted(key, wanted, side="right") - 1
-            bin_of, nth = np.divmod(batch.column("rank").to_numpy() - slots["first"][at], slots["each"][at])
-            offset = slots["offset"][at] + nth * slots["length"][at]
-            arrays = [batch.column(n) for n in names] + [pa.array(slots["sequence"][at] + bin_of), pa.array(offset)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "sequence_id", "offset"])
-
-    return ranked.select(*names, "rank").mapInArrow(
-        place, ", ".join(f"{n} {types[n]}" for n in names) + ", sequence_id long, offset long"
-    )
+        for length, rank in columns:
+            length, rank = length.to_numpy(), rank.to_numpy()
+            at = np.searchsorted(key, length << 48 | rank, side="right") - 1
+            bin_of, nth = np.divmod(rank - slots["first"][at], slots["each"][at])
+            yield pd.DataFrame({"sequence_id": slots["sequence"][at] + bin_of, "offset": slots["offset"][at] + nth * slots["length"][at]})
+
+    placed = ranked.withColumn("place", place("length", "rank"))
+    return placed.select(*names, "place.sequence_id", "place.offset")

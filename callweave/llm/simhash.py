@@ -35,13 +35,14 @@ from __future__ import annotations
 
 import itertools
 import math
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callweave.llm.common import batch_of, chosen_rows, mixed, one_array, ranges, slices, stages, text_column
+from callweave.llm.common import batch_of, chosen_rows, clear_worker_cache, drop, mixed, one_array, ranges, slices, stages, text_column
 from callweave.llm.components import components
 from callweave.llm.similarity import family_links
 
@@ -123,8 +124,9 @@ def set_fingerprints(docs: DataFrame, words: int) -> DataFrame:
     row, names = docs.schema["row"], _names(WIDE)
 
     def mark(batches):
+        clear_worker_cache()
         for part in slices(batches):
-            lists = [list(set(_hashes((t or "").encode(), words, SEED))) for t in one_array(part.column("text")).to_pylist()]
+            lists = [array("Q", set(_hashes((t or "").encode(), words, SEED))) for t in one_array(part.column("text")).to_pylist()]
             fp = _fingerprints(lists, WIDE).view(np.int64)
             full = [x for x in lists if x]
             keys = band_keys(full).view(np.int64) if full else np.zeros((0, BANDS), np.int64)
@@ -327,8 +329,10 @@ def similar_links(kept, marked: DataFrame, distinct: DataFrame, text: str, words
     families = components(kept.keep(loose, "loose")).withColumnRenamed("root", "family")
     families = kept.keep(families.unionByName(families.select(F.col("family").alias("node"), "family").distinct()), "families")
     texts = marked.select(F.struct("number", text_column(f"row.`{text}`").alias("text")).alias("row"), "number")
-    texts = chosen_rows(stages(marked.sparkSession), texts, families.select(F.col("node").alias("number")), True)
+    # Written in between, since a task that chooses and splits holds two Python workers.
+    texts = kept.keep(chosen_rows(stages(marked.sparkSession), texts, families.select(F.col("node").alias("number")), True), "texts")
     members = kept.keep(shingle_sets(texts, words).join(families, "node").join(prints, "node"), "members")
+    drop(kept, "texts")
     return kept.keep(family_links(kept, members, names, radius, similarity), "links")
 
 

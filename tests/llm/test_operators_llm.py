@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from callweave.llm import (
-    components, decontamination, kneser_ney, packing, pii, quality_rules, queries, simhash, suffix_dedup, token_files, url_rules, warc,
+    common, components, decontamination, kneser_ney, packing, pii, quality_rules, queries, simhash, suffix_dedup, token_files, url_rules, warc,
 )
 from callweave.llm.common import stages
 from callweave.llm.tokens import Encoder
@@ -201,6 +201,18 @@ def test_token_files_round_trip(spark, documents, hard):
         at += r.n_tokens
 
 
+def test_ids_of_pieces_are_not_sent_to_python_for_their_place(spark):
+    docs = spark.createDataFrame([(i, f"Text {i}") for i in range(9)], "doc_id long, text string")
+    plan = packing.packed(docs, FILE, carry=["doc_id"], with_ids=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and "place(length" in plan
+
+
+def test_a_worker_gives_back_what_another_operator_left():
+    common.worker_cache()["encoder", "file"] = "pieces"
+    common.clear_worker_cache()
+    assert not common.worker_cache()
+
+
 def test_packing(spark, documents, hard):
     docs = both(spark, documents, hard)
     rows = packing.packed(docs, FILE, carry=["doc_id", "text"], with_ids=True).select("row.*", "*").drop("row").collect()
