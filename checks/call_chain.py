@@ -99,25 +99,33 @@ def q_tolerance_left_carried(spark, sf):
 
 def q_tolerance_left_by_day(spark, sf):
     """Tickets matched in four runs, each over the days between two midnights and the edges of its
-    neighbours: the rows are those of one run over all days."""
+    neighbours: the rows are those of one run over all days.
+
+    The runs follow one another as those of single days do. Each stores its rows and drops its stages before
+    the next, so the driver plans and watches one match at a time, and the result only reads what was stored."""
     cuts = [datetime.date(2000, 1, 1), *(datetime.date(2024, 1, d) for d in (10, 11, 20)), datetime.date(2100, 1, 1)]
     periods = [(a, b - datetime.timedelta(days=1)) for a, b in itertools.pairwise(cuts)]
-    filed, stages = [], Stages(spark)
-    blocks, calls = views.ivr_blocks(spark, sf), views.ivr_calls(spark, sf)
+    filed, inputs, results = [], Stages(spark), Stages(spark)
+    tickets = inputs.keep(views.tickets(spark, sf), "tickets")
+    blocks, calls = inputs.keep(views.ivr_blocks(spark, sf), "blocks"), inputs.keep(views.ivr_calls(spark, sf), "calls")
     for first, last in periods:
         begin, end = bounds(first, last, "UTC")
         filed.append(DayFiles(
-            own_rows(views.tickets(spark, sf), first, last), blocks.where((F.col("timestamp") >= begin) & (F.col("timestamp") < end)),
+            own_rows(tickets, first, last), blocks.where((F.col("timestamp") >= begin) & (F.col("timestamp") < end)),
             calls.where((F.col("start") >= begin) & (F.col("start") < end)),
         ))
     parts = []
     for i, (first, last) in enumerate(periods):
         before, after = filed[i - 1] if i else None, filed[i + 1] if i + 1 < len(filed) else None
         files = day_with_edges(filed[i], before, after, first, "UTC", 600, last)
-        prepared = stages.keep(ticket_prep(files.tickets), f"tickets-{i}")
-        ivr = stages.keep(ivr_prep(files.ivr_blocks, files.ivr_calls), f"ivr-{i}")
-        parts.append(own_rows(match_calls(prepared, ivr, "UTC"), first, last))
-    return _named(reduce(DataFrame.unionByName, parts), MATCH_OUTPUT)
+        stages = Stages(spark)
+        prepared = stages.keep(ticket_prep(files.tickets), "tickets")
+        ivr = stages.keep(ivr_prep(files.ivr_blocks, files.ivr_calls), "ivr")
+        matched = own_rows(match_calls(prepared, ivr, "UTC"), first, last)
+        parts.append(results.keep(_named(matched, MATCH_OUTPUT), f"matched-{i}"))
+        stages.remove()
+    inputs.remove()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_call_rules_v2(spark, sf):

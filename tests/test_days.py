@@ -12,6 +12,7 @@ from callweave.sources import (
     BadRowsError, DayStore, Draft, Stages, UnknownDayError, read_csv, read_csv_by_header, read_csv_quarantined, write_csv,
 )
 from callweave.sources.readers import files_by_header
+from checks import call_chain
 from conftest import rows
 from test_sources import day_paths
 
@@ -166,6 +167,25 @@ def test_two_day_runs_equal_one_over_both_days(spark):
     assert alone != one  # without the edges t5 finds nothing
 
 
+def test_runs_of_several_days_are_stored_one_after_another(spark, tmp_path):
+    """The result reads what each run stored: no join is left for its plan, and nothing else is left on disk."""
+    midnights = [datetime.datetime(2024, 1, d) for d in (5, 10, 11, 20)]
+    events = [
+        (n, midnights[n // 60] + datetime.timedelta(seconds=n % 60 - 30), n % 7, ("error", "click", "view")[n % 3]) for n in range(240)
+    ]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string").write.parquet(f"{tmp_path}/sf/events.parquet")
+    stages = spark.conf.get("spark.checkpoint.dir")
+    os.makedirs(stages, exist_ok=True)
+    before = set(os.listdir(stages))
+    found = call_chain.q_tolerance_left_by_day(spark, f"{tmp_path}/sf")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    left = [d for d in sorted(set(os.listdir(stages)) - before) if os.path.isdir(f"{stages}/{d}")]
+    assert len(left) == 1 and sorted(os.listdir(f"{stages}/{left[0]}")) == [f"matched-{i}" for i in range(4)]
+    whole = rows(call_chain.q_tolerance_left(spark, f"{tmp_path}/sf"))
+    assert rows(found) == whole and any(r[4] is not None for r in whole)
+
+
 def test_days_of_a_zone_with_a_clock_change(spark):
     from callweave.plans.midnight import bounds
 
