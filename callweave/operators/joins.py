@@ -118,17 +118,20 @@ def prefix_lookup(
     plan: DataFrame,
     hit: str,
     duplicates: bool = False,
+    times: str | None = None,
 ) -> DataFrame:
     """Flag the rows whose number starts with a prefix of the numbering plan that is meant
     for numbers of that length (plan columns ``Debut`` and ``Longueur``).
 
     A plan that lists a prefix several times gives one row per call; with
-    ``duplicates=True`` one row per listing, as a plain left join would.
+    ``duplicates=True`` one row per listing, as a plain left join would. Those rows are calls
+    times listings; if they are only to be counted or summed, name a column by ``times``: equal
+    rows are then one with their number in it (1 without a hit).
     """
     prefixes = plan.select(
         F.col("Debut").alias("_prefix"), F.col("Longueur").try_cast("int").alias("_length")
     ).dropna()
-    prefixes = prefixes.groupBy("_prefix", "_length").agg(F.count("*").cast("int").alias("_listed"))
+    prefixes = prefixes.groupBy("_prefix", "_length").agg(F.count("*").alias("_listed"))
     length = F.lit(prefix_length) if isinstance(prefix_length, int) else prefix_length
     found = df.join(
         prefixes,
@@ -137,8 +140,12 @@ def prefix_lookup(
         "left",
     ).withColumn(hit, F.col("_prefix").isNotNull())
     if duplicates:
-        times = F.sequence(F.lit(1), F.coalesce(F.col("_listed"), F.lit(1)))
-        found = found.select("*", F.explode(times).alias("_copy"))
+        listed = F.coalesce(F.col("_listed"), F.lit(1))
+        if times:
+            found = found.withColumn(times, listed)
+        else:
+            copies = F.sequence(F.lit(1), listed.cast("int"))
+            found = found.select("*", F.explode(copies).alias("_copy"))
     return found.drop("_prefix", "_length", "_listed", "_copy")
 
 

@@ -392,15 +392,16 @@ SELECT p_partkey, p_brand, count(s_suppkey) AS listings FROM (
   LEFT JOIN (SELECT s_suppkey, 'Brand#' || (s_suppkey % 10) AS debut FROM supplier)
   ON substr(p_brand, 1, 7) = debut AND length(p_brand) = 8) GROUP BY 1, 2""")
 def prefix_of_brand(spark, sf):
-    """Suppliers act as a plan that lists each prefix many times."""
+    """Suppliers act as a plan that lists each prefix many times. The listings of a part are counted, so
+    the lookup gives their number; a row for each would be parts times suppliers."""
     plan = table(spark, sf, "supplier").select(
         F.concat(F.lit("Brand#"), (F.col("s_suppkey") % 10).cast("string")).alias("Debut"),
         F.lit("8").alias("Longueur"),
     )
     parts = table(spark, sf, "part").select("p_partkey", "p_brand")
-    listed = prefix_lookup(parts, "p_brand", 7, plan, "hit", duplicates=True)
+    listed = prefix_lookup(parts, "p_brand", 7, plan, "hit", duplicates=True, times="times")
     return listed.groupBy("p_partkey", "p_brand").agg(
-        F.count_if("hit").alias("listings")
+        F.sum(F.when(F.col("hit"), F.col("times")).otherwise(0)).alias("listings")
     )
 
 

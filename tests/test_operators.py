@@ -31,6 +31,7 @@ from callweave.operators import (
 )
 from callweave.operators.compare import ColumnCountError, ColumnTypeError
 from callweave.operators.contract import ColumnContractError
+from checks import building_blocks
 from conftest import rows
 
 
@@ -162,6 +163,25 @@ def test_prefix_lookup_distinct_and_per_listing(spark):
     assert listed.count() == 6
 
 
+def test_prefix_lookup_gives_the_number_of_listings(spark):
+    numbers = spark.createDataFrame([("0612345678",), ("3012",), ("3012",), ("3112",), (None,)], "n string")
+    plan = spark.createDataFrame([("06", "10"), ("30", "4"), ("30", "4"), ("30", "4"), (None, None)], "Debut string, Longueur string")
+    counted = prefix_lookup(numbers, "n", 2, plan, "hit", duplicates=True, times="times")
+    assert rows(counted) == [(None, False, 1), ("0612345678", True, 1), ("3012", True, 3), ("3012", True, 3), ("3112", False, 1)]
+    listed = prefix_lookup(numbers, "n", 2, plan, "hit", duplicates=True)
+    assert rows(listed.groupBy("n", "hit").count()) == rows(counted.groupBy("n", "hit").agg(F.sum("times")))
+
+
+def test_listings_are_counted_without_a_row_for_each(spark, tmp_path):
+    parts = [(1, "Brand#11"), (1, "Brand#11"), (2, "Brand#23"), (3, "Brand#3"), (4, None), (None, "Brand#12")]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    keys = [(1,), (11,), (11,), (21,), (2,), (3,), (None,)]
+    spark.createDataFrame(keys, "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = building_blocks.prefix_of_brand(spark, str(tmp_path))
+    assert rows(found) == [(None, "Brand#12", 4), (1, "Brand#11", 8), (2, "Brand#23", 1), (3, "Brand#3", 0), (4, None, 0)]
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_lookup_is_the_same_without_broadcast(spark):
     numbers = spark.createDataFrame([("3012",), ("3112",)], "n string")
     plan = spark.createDataFrame([("30", "4")], "Debut string, Longueur string")
